@@ -4,6 +4,7 @@ Each is written from the meaning of the report, over the whole tables.
 """
 
 from ledgerloom.operators.grains import GRAINS
+from ledgerloom.plans.catalog import DATASETS
 
 MERCHANTS = """
   LEFT JOIN supplier s ON s.s_suppkey = {supplier_key}
@@ -150,5 +151,76 @@ def dataset_bodies() -> dict[str, str]:
     return bodies | OVERALL
 
 
+RATES = """
+SELECT effective_from, lead(effective_from) OVER (ORDER BY effective_from) AS valid_to, rate
+FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 12 HOUR AS effective_from,
+        CAST(25000 + day(ts) * 10 AS DECIMAL(18,4)) AS rate FROM events)"""
+
+CONVERTED = f"""
+SELECT t.*, r.rate, CAST(round(t.amount_usd * r.rate) AS BIGINT) AS converted
+FROM t LEFT JOIN ({RATES}) r
+  ON t.ts >= r.effective_from AND (r.valid_to IS NULL OR t.ts < r.valid_to)"""
+
+CLEAN_ROW = """user_id, card_id, strftime(ts, '%H:%M:00') AS time, amount_usd,
+  'Chip Transaction' AS use_chip, merchant_name, merchant_city, merchant_state,
+  '00000' AS zip, 5411 AS mcc, has_errors, is_fraud, ds AS transaction_date, ds"""
+
+
+def top_body(body: str, order: str) -> str:
+    return f"SELECT * FROM ({body}) ORDER BY {order} LIMIT 10"
+
+
+def published_body() -> str:
+    """Row counts of all datasets, with the header each file must have."""
+    parts = []
+    for key, body in dataset_bodies().items():
+        header = ",".join(DATASETS[key].report.columns)
+        parts.append(
+            f"SELECT '{key}' AS dataset, true AS readable, "
+            f"(SELECT count(*) FROM ({body})) AS rows, '{header}' AS columns"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
 def statements() -> dict[str, str]:
-    return {key: over(LINEITEM, body) for key, body in dataset_bodies().items()}
+    bodies = dataset_bodies()
+    lineitem = dict(bodies)
+    lineitem |= {f"shared_{key}": bodies[key] for key in (*OVERALL, *(f"{n}_year" for n in BY_GRAIN))}
+    lineitem |= {
+        "stored_csv_report": bodies["city_analysis_year"],
+        "top_hours": top_body(bodies["hourly_analysis_year"], "transaction_count DESC, hour"),
+        "top_cities": top_body(
+            bodies["city_analysis_year"], "total_amount_vnd DESC, merchant_city, merchant_state"
+        ),
+        "top_merchants": top_body(
+            bodies["merchant_analysis_year"],
+            "total_amount_vnd DESC, merchant_name, merchant_city, merchant_state",
+        ),
+        "latest_bounds": "SELECT max(ds) AS latest_day, "
+        "CAST(date_trunc('month', max(ds)) AS DATE) AS month_start, "
+        "CAST(date_trunc('year', max(ds)) AS DATE) AS year_start FROM t",
+        "high_value_limit": "SELECT min(amount_vnd) AS threshold, count(*) AS row_count "
+        f"FROM t WHERE amount_vnd >= {P95}",
+        "row_count": "SELECT count(*) AS row_count FROM t",
+        "published_files": published_body(),
+    }
+    same_rate = f"SELECT {CLEAN_ROW}, amount_vnd FROM t"
+    events = {
+        "clean_from_json": same_rate,
+        "clean_from_csv": same_rate,
+        "ingest_stream": f"SELECT {CLEAN_ROW}, converted AS amount_vnd "
+        f"FROM ({CONVERTED}) WHERE rate IS NOT NULL",
+        "fx_conversion": "SELECT user_id, strftime(ts, '%H:%M:00') AS time, ds, "
+        f"CAST(rate AS DOUBLE) AS vnd_per_usd, converted AS amount_vnd FROM ({CONVERTED})",
+        "ingest_outcomes": f"""
+SELECT CASE WHEN reason = 'none' THEN 'clean' ELSE 'rejected' END AS outcome, reason,
+  count(*) AS row_count
+FROM (SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed_message'
+        WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN 'no_date'
+        WHEN rate IS NULL THEN 'no_rate' ELSE 'none' END AS reason
+      FROM ({CONVERTED}))
+GROUP BY 1, 2""",
+    }
+    return {key: over(LINEITEM, body) for key, body in lineitem.items()} | {
+        key: over(EVENTS, body) for key, body in events.items()
+    }

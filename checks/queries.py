@@ -3,20 +3,195 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.fixtures import transactions_from_lineitem
-from ledgerloom.plans import DATASETS, Dataset, report
+from ledgerloom import jobs, sources
+from ledgerloom.fixtures import (
+    COLUMNS,
+    constant_rate,
+    noon_rates,
+    raw_from_events,
+    transactions_from_lineitem,
+)
+from ledgerloom.operators.clean import (
+    accepted,
+    clean_raw,
+    parse_messages,
+    raw_records,
+    type_records,
+)
+from ledgerloom.operators.fx import with_amount_vnd
+from ledgerloom.operators.grains import GRAINS, latest_bounds_frame
+from ledgerloom.plans import DATASETS, REPORTS, Dataset, build_reports, report
+from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
+from ledgerloom.schema import RAW_FIELDS
+from ledgerloom.session import scratch_dir
+from ledgerloom.sinks.warehouse import csv_path, write_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOP_K = 10
+#: O2: report, and the grain it is looked at.
+TOPS = {
+    "top_hours": ("hourly_analysis", "year"),
+    "top_cities": ("city_analysis", "year"),
+    "top_merchants": ("merchant_analysis", "year"),
+}
+#: Datasets derived from rollups, one per family at its widest grain.
+SHARED = [d.id for d in DATASETS.values() if d.grain in (None, "year")]
+STORED_CSV = "city_analysis_year"
 
-def dataset_query(dataset: Dataset) -> Query:
+
+def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
-        return report(df, dataset.report.name, dataset.grain)
+        return report(df, dataset.report.name, dataset.grain, threshold=threshold)
 
     return run
 
 
+def shared_query(dataset: Dataset) -> Query:
+    """The dataset by way of the rollups, as ``build_reports`` makes it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = transactions_from_lineitem(spark, sf_dir)
+        grains = [dataset.grain] if dataset.grain else None
+        built = build_reports(df, scratch_dir(spark, "rollups"), [dataset.report.name], grains)
+        return built[dataset.id]
+
+    return run
+
+
+def top_query(name: str, grain: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = transactions_from_lineitem(spark, sf_dir, REPORTS[name].reads)
+        return top(report(df, name, grain, sort=False), name, TOP_K)
+
+    return run
+
+
+def latest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_bounds_frame(transactions_from_lineitem(spark, sf_dir, ["ds"]))
+
+
+def high_value_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows at or above the exact P95: how many, and the least of them."""
+    df = transactions_from_lineitem(spark, sf_dir, ["amount_vnd"])
+    return df.where(is_high_value(high_value_threshold(df))).agg(
+        F.min("amount_vnd").alias("threshold"), F.count("*").alias("row_count")
+    )
+
+
+def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.count_rows(transactions_from_lineitem(spark, sf_dir, ["ds"]))
+
+
+def stored_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written to the warehouse as CSV and read from there."""
+    dataset = DATASETS[STORED_CSV]
+    df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
+    result = report(df, dataset.report.name, dataset.grain, sort=False)
+    warehouse = scratch_dir(spark, "warehouse")
+    write_reports(spark, {dataset.id: result}, warehouse)
+    return sources.read_report_csv(spark, csv_path(warehouse, dataset.id), result.schema)
+
+
+def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily run over all datasets, up to the verification of its files."""
+    scratch = scratch_dir(spark, "daily")
+    df = transactions_from_lineitem(spark, sf_dir)
+    return jobs.run_daily(spark, df, f"{scratch}/warehouse", f"{scratch}/published")
+
+
+def clean_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows to JSON messages, parsed and cleaned again."""
+    rows = raw_from_events(spark, sf_dir)
+    messages = rows.select(
+        F.to_json(F.struct(*RAW_FIELDS)).cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"),
+    )
+    records = clean_raw(parse_messages(messages), constant_rate(spark))
+    return accepted(records).select(*COLUMNS)
+
+
+def clean_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows by way of CSV files and the batch ingest."""
+    path = scratch_dir(spark, "csv")
+    rows = raw_from_events(spark, sf_dir).select(*RAW_FIELDS)
+    rows.write.options(header=True, escape='"').csv(path)
+    records = jobs.ingest_batch(sources.read_transactions_csv(spark, path), constant_rate(spark))
+    return accepted(records).select(*COLUMNS)
+
+
+def message_archive(spark: SparkSession, sf_dir: str, path: str) -> None:
+    rows = raw_from_events(spark, sf_dir)
+    rows.select(
+        F.to_json(F.struct(*RAW_FIELDS)).cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"),
+    ).repartition(4, "timestamp").write.parquet(path)
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archived messages streamed into a lake in several batches, and read back."""
+    scratch = scratch_dir(spark, "stream")
+    message_archive(spark, sf_dir, f"{scratch}/messages")
+    jobs.ingest_stream(
+        sources.read_message_stream(
+            spark, "parquet", f"{scratch}/messages", {"maxFilesPerTrigger": "2"}
+        ),
+        lambda session: noon_rates(session, sf_dir),
+        f"{scratch}/lake",
+        f"{scratch}/checkpoint",
+        {"availableNow": True},
+    ).awaitTermination()
+    return sources.read_clean(spark, f"{scratch}/lake").select(*COLUMNS)
+
+
+def fx_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's amount at the rate in force at its time, NULL before the first."""
+    rows = raw_from_events(spark, sf_dir)
+    typed = type_records(raw_records(rows, F.col("ts")))
+    return with_amount_vnd(typed, noon_rates(spark, sf_dir), "ingest_time").select(
+        "user_id", "time", "ds", F.col("vnd_per_usd").cast("double"), "amount_vnd"
+    )
+
+
+def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records are accepted, and refused for each reason, where some
+    messages are broken, some dates impossible and some incomplete."""
+    rows = raw_from_events(spark, sf_dir)
+    key = F.col("event_id")
+    damaged = rows.withColumns(
+        {
+            "Day": F.when(key % 13 == 0, "31").when(key % 17 != 0, F.col("Day")),
+            "Month": F.when(key % 13 == 0, "2").otherwise(F.col("Month")),
+        }
+    )
+    text = F.when(key % 11 == 0, "{bad").otherwise(F.to_json(F.struct(*RAW_FIELDS)))
+    messages = damaged.select(text.cast("binary").alias("value"), F.col("ts").alias("timestamp"))
+    records = clean_raw(parse_messages(messages), noon_rates(spark, sf_dir))
+    return records.groupBy(
+        "outcome", F.coalesce("reject_reason", F.lit("none")).alias("reason")
+    ).agg(F.count("*").alias("row_count"))
+
+
 def registered() -> dict[str, Query]:
-    return {d.id: dataset_query(d) for d in DATASETS.values()}
+    queries: dict[str, Query] = {d.id: dataset_query(d) for d in DATASETS.values()}
+    queries |= {f"shared_{key}": shared_query(DATASETS[key]) for key in SHARED}
+    queries |= {
+        f"high_value_approx_{g}": dataset_query(DATASETS[f"high_value_analysis_{g}"], "approx")
+        for g in GRAINS
+    }
+    queries |= {name: top_query(*spec) for name, spec in TOPS.items()}
+    return queries | {
+        "latest_bounds": latest_bounds,
+        "high_value_limit": high_value_limit,
+        "row_count": row_count,
+        "stored_csv_report": stored_csv,
+        "published_files": published_files,
+        "clean_from_json": clean_from_json,
+        "clean_from_csv": clean_from_csv,
+        "ingest_stream": ingest_stream,
+        "fx_conversion": fx_conversion,
+        "ingest_outcomes": ingest_outcomes,
+    }

@@ -105,3 +105,50 @@ def transactions_from_events(
         },
         wanted,
     )
+
+
+def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events mapping as raw transactions, with ``event_id`` and ``ts``."""
+    suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    df = (
+        table(spark, sf_dir, "events")
+        .withColumn("supplier_key", F.col("event_id") % suppliers)
+        .join(merchants(spark, sf_dir), F.col("supplier_key") == F.col("s_suppkey"), "left")
+    )
+    return df.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").cast("string").alias("User"),
+        (F.col("user_id") % 3).cast("string").alias("Card"),
+        F.year("ts").cast("string").alias("Year"),
+        F.month("ts").cast("string").alias("Month"),
+        F.dayofmonth("ts").cast("string").alias("Day"),
+        F.date_format("ts", "HH:mm").alias("Time"),
+        F.concat(F.lit("$"), F.col("value").cast("decimal(12,2)").cast("string")).alias("Amount"),
+        F.lit("Chip Transaction").alias("Use Chip"),
+        F.col("merchant_name").alias("Merchant Name"),
+        F.col("merchant_city").alias("Merchant City"),
+        F.col("merchant_state").alias("Merchant State"),
+        F.lit("00000").alias("Zip"),
+        F.lit("5411").alias("MCC"),
+        F.when(F.col("event_type") == "error", "Technical Glitch").otherwise("").alias("Errors?"),
+        F.when(F.col("event_id") % 37 == 0, "Yes").otherwise("No").alias("Is Fraud?"),
+    )
+
+
+def noon_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate for each day of ``events``, in force from noon."""
+    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d")).distinct()
+    return days.select(
+        F.expr("CAST(d AS TIMESTAMP) + INTERVAL 12 HOURS").alias("effective_from"),
+        F.lit("USD").alias("currency"),
+        (F.lit(25000) + F.dayofmonth("d") * 10).cast("decimal(18,4)").alias("vnd_per_usd"),
+    )
+
+
+def constant_rate(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(
+        F.lit("2000-01-01").cast("timestamp").alias("effective_from"),
+        F.lit("USD").alias("currency"),
+        F.lit(RATE).cast("decimal(18,4)").alias("vnd_per_usd"),
+    )
