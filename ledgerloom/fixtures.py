@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import to_vnd
 
 RATE = 25380
+MAX_BROADCAST_MERCHANTS = 100_000
 MERCHANT_COLUMNS = {"merchant_name", "merchant_city", "merchant_state"}
 
 #: Order of the mapped columns.
@@ -29,9 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier with its nation as city and its region as state."""
-    return (
-        table(spark, sf_dir, "supplier")
+    """Supplier with its nation as city and its region as state.
+
+    Spark overestimates the size of joined tables, so it would shuffle the facts
+    even for few suppliers. They are broadcast when counted to be few.
+    """
+    suppliers = table(spark, sf_dir, "supplier")
+    joined = (
+        suppliers
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
@@ -41,6 +47,7 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias("merchant_state"),
         )
     )
+    return F.broadcast(joined) if suppliers.count() <= MAX_BROADCAST_MERCHANTS else joined
 
 
 def _select(df: DataFrame, mapped: dict[str, Column], wanted: list[str]) -> DataFrame:
@@ -82,16 +89,21 @@ def transactions_from_lineitem(
     )
 
 
+def with_merchant_of_event(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """Events have no merchant; the suppliers are dealt out by event number."""
+    suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    return events.withColumn("supplier_key", F.col("event_id") % suppliers).join(
+        merchants(spark, sf_dir), F.col("supplier_key") == F.col("s_suppkey"), "left"
+    )
+
+
 def transactions_from_events(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] = COLUMNS
 ) -> DataFrame:
     wanted = [c for c in COLUMNS if c in set(columns)]
     df = table(spark, sf_dir, "events")
     if MERCHANT_COLUMNS & set(wanted):
-        suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
-        df = df.withColumn("supplier_key", F.col("event_id") % suppliers).join(
-            merchants(spark, sf_dir), F.col("supplier_key") == F.col("s_suppkey"), "left"
-        )
+        df = with_merchant_of_event(spark, sf_dir, df)
     return _select(
         df,
         {
@@ -109,12 +121,7 @@ def transactions_from_events(
 
 def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events mapping as raw transactions, with ``event_id`` and ``ts``."""
-    suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
-    df = (
-        table(spark, sf_dir, "events")
-        .withColumn("supplier_key", F.col("event_id") % suppliers)
-        .join(merchants(spark, sf_dir), F.col("supplier_key") == F.col("s_suppkey"), "left")
-    )
+    df = with_merchant_of_event(spark, sf_dir, table(spark, sf_dir, "events"))
     return df.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),

@@ -7,9 +7,6 @@ NULL rather than an error, whatever ``spark.sql.ansi.enabled`` says.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Hours, minutes and seconds of a valid time of day.
-TIME_PATTERN = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d$"
-
 
 def parse_money(text: Column) -> Column:
     """``$134.09`` -> 134.09; a sign after the symbol is kept."""
@@ -38,8 +35,10 @@ def to_vnd(amount_usd: Column, rate: Column) -> Column:
 
 
 def hour_of_day(time: Column) -> Column:
-    """C11: hour read from the text, so no session zone or today's date matters."""
-    return F.regexp_extract(time, TIME_PATTERN, 1).try_cast("int")
+    """C11: hour of a time of day, read without a time zone and on a fixed date,
+    so neither the session zone nor a clock change today can shift it."""
+    moment = F.concat(F.lit("1970-01-01 "), time).try_cast("timestamp_ntz")
+    return F.when(F.contains(time, F.lit(":")), F.hour(moment))
 
 
 def day_type(date: Column) -> Column:

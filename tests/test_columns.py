@@ -1,0 +1,91 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import functions as L
+
+
+def values(spark, texts, make):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r[0] for r in df.select(make(F.col("t")).alias("x"), "i").orderBy("i").collect()]
+
+
+def test_ansi_is_on(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_money(spark):
+    got = values(spark, ["$134.09", "$-99.00", "12", "x", "", None, "$1,000.00"], L.parse_money)
+    assert [None if g is None else str(g) for g in got] == [
+        "134.09", "-99.00", "12.00", None, None, None, None,
+    ]
+
+
+def test_int(spark):
+    assert values(spark, ["7", " 7", "-7", "5411.0", "x", "", None, "99999999999"], L.parse_int) == [
+        7, 7, -7, 5411, None, None, None, None,
+    ]
+
+
+@pytest.mark.parametrize(
+    "day, month, year, want",
+    [
+        (1, 9, 2002, datetime.date(2002, 9, 1)),
+        (29, 2, 2024, datetime.date(2024, 2, 29)),
+        (31, 2, 2002, None),
+        (None, 9, 2002, None),
+        (1, None, 2002, None),
+        (1, 9, None, None),
+        (0, 9, 2002, None),
+    ],
+)
+def test_date(spark, day, month, year, want):
+    df = spark.createDataFrame([(day, month, year)], "d int, m int, y int")
+    assert df.select(L.parse_date(F.col("d"), F.col("m"), F.col("y"))).first()[0] == want
+
+
+def test_time_and_hour(spark):
+    assert values(spark, ["06:21", None], L.complete_time) == ["06:21:00", None]
+    got = values(spark, ["06:21:00", "00:00:00", "23:59:59", "24:00:00", "bad:00", None, "", " ", ":00", "7", "7:05:00"], L.hour_of_day)
+    assert got == [6, 0, 23, None, None, None, None, None, None, None, 7]
+
+
+def test_hour_ignores_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert values(spark, ["02:30:00"], L.hour_of_day) == [2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_day_type(spark):
+    got = values(
+        spark,
+        ["2024-02-02", "2024-02-03", "2024-02-04", "2024-02-05", None],
+        lambda t: L.day_type(t.cast("date")),
+    )
+    assert got == ["Weekday", "Weekend", "Weekend", "Weekday", "Weekday"]
+
+
+def test_to_vnd_beyond_int32_and_halves(spark):
+    df = spark.createDataFrame([("99999.99",), ("0.05",), ("-0.05",), (None,)], "t string")
+    got = df.select(
+        L.to_vnd(F.col("t").cast("decimal(12,2)"), F.lit("25010").cast("decimal(18,4)"))
+    ).collect()
+    assert [r[0] for r in got] == [2500999750, 1251, -1251, None]
+
+
+def test_percent(spark):
+    df = spark.createDataFrame([(1, 3), (0, 5), (0, 0)], "a long, b long")
+    got = [r[0] for r in df.select(L.percent(F.col("a"), F.col("b"))).collect()]
+    assert got == [33.33, 0.0, None]
+
+
+def test_predicates(spark):
+    df = spark.createDataFrame(
+        [("", "No"), ("Bad PIN", "Yes"), (None, None), ("Yes", "yes")], "has_errors string, is_fraud string"
+    )
+    assert df.where(L.is_error()).count() == 2
+    assert df.where(L.is_fraud()).count() == 1
