@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.clean import ACCEPTED, REFUSED
-from ledgerloom.schema import CLEAN, FX, RAW_FIELDS, REJECTED
+from ledgerloom.schema import CLEAN, RAW_FIELDS, REJECTED
 from ledgerloom.sinks.paths import exists
 
 
@@ -56,14 +56,10 @@ def read_rates_json(spark: SparkSession, path: str, whole_files: bool = False) -
     documents = spark.read.schema("date DATE, usd STRUCT<vnd: DECIMAL(18,4)>").json(
         path, multiLine=whole_files
     )
-    return (
-        documents.where("date IS NOT NULL AND usd.vnd IS NOT NULL")
-        .select(
-            F.col("date").cast("timestamp").alias("effective_from"),
-            F.lit("USD").alias("currency"),
-            F.col("usd.vnd").alias("vnd_per_usd"),
-        )
-        .to(FX)
+    return documents.where("date IS NOT NULL AND usd.vnd IS NOT NULL").select(
+        F.col("date").cast("timestamp").alias("effective_from"),
+        F.lit("USD").alias("currency"),
+        F.col("usd.vnd").alias("vnd_per_usd"),
     )
 
 

@@ -1,0 +1,178 @@
+import json
+from collections import Counter
+from datetime import date, datetime, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import jobs, sources
+from ledgerloom.operators.clean import accepted, clean_raw, parse_messages, rejected
+from ledgerloom.schema import CLEAN, FX, MESSAGE, RAW_FIELDS, REJECTED
+from tests.data import as_set
+
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+PLAIN = {
+    "User": "0", "Card": "1", "Year": "2002", "Month": "9", "Day": "1", "Time": "06:21",
+    "Amount": "$134.09", "Use Chip": "Swipe Transaction", "Merchant Name": "35272132",
+    "Merchant City": "La Verne", "Merchant State": "CA", "Zip": "91750.0", "MCC": "5300",
+    "Errors?": "", "Is Fraud?": "No",
+}
+
+
+def raw(**changes) -> dict:
+    """The plain record with some fields changed; None leaves a field out."""
+    names = {"Use_Chip": "Use Chip", "Merchant": "Merchant Name", "Errors": "Errors?", "Fraud": "Is Fraud?"}
+    row = PLAIN | {names.get(k, k): v for k, v in changes.items()}
+    return {k: v for k, v in row.items() if v is not None}
+
+
+def messages(spark, rows, at=START):
+    texts = [r if isinstance(r, (str, type(None))) else json.dumps(r) for r in rows]
+    return spark.createDataFrame(
+        [(None if t is None else bytearray(t.encode()), at) for t in texts], MESSAGE
+    )
+
+
+def rates(spark):
+    return spark.createDataFrame([(START, "USD", Decimal(25380))], FX)
+
+
+def clean(spark, rows, at=START):
+    return clean_raw(parse_messages(messages(spark, rows, at)), rates(spark))
+
+
+def only(spark, **changes):
+    (row,) = accepted(clean(spark, [raw(**changes)])).collect()
+    return row
+
+
+def test_plain_record(spark):
+    row = only(spark)
+    assert row.asDict() == {
+        "user_id": 0, "card_id": 1, "time": "06:21:00", "amount_usd": Decimal("134.09"),
+        "use_chip": "Swipe Transaction", "merchant_name": "35272132", "merchant_city": "La Verne",
+        "merchant_state": "CA", "zip": "91750.0", "mcc": 5300, "has_errors": "", "is_fraud": "No",
+        "transaction_date": date(2002, 9, 1), "amount_vnd": 3403204,
+        "processed_at": row.processed_at, "ds": date(2002, 9, 1),
+    }
+    assert row.processed_at is not None
+
+
+def test_schema(spark):
+    frame = accepted(clean(spark, [raw()]))
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in CLEAN]
+
+
+@pytest.mark.parametrize(
+    "changes, column, want",
+    [
+        ({"Amount": "$-99.00"}, "amount_vnd", -2512620),
+        ({"Amount": "$99999.99"}, "amount_vnd", 2537999746),
+        ({"Amount": "free"}, "amount_vnd", None),
+        ({"Month": "12", "Day": "31"}, "ds", date(2002, 12, 31)),
+        ({"User": "x"}, "user_id", None),
+        ({"Time": "bad"}, "time", "bad:00"),
+        ({"Errors": "Bad PIN"}, "has_errors", "Bad PIN"),
+        ({"Errors": None}, "has_errors", None),
+        ({"Fraud": "Yes"}, "is_fraud", "Yes"),
+        ({"Merchant": None, "Fraud": "Yes"}, "merchant_name", None),
+        ({"User": 7}, "user_id", 7),
+    ],
+)
+def test_field(spark, changes, column, want):
+    assert only(spark, **changes)[column] == want
+
+
+@pytest.mark.parametrize(
+    "row, reason",
+    [
+        (raw(Day="31", Month="2"), "no_date"),
+        (raw(Day=None), "no_date"),
+        ({}, "no_date"),
+        (None, "no_date"),
+        ("{bad", "malformed_message"),
+        ("", "no_date"),
+        ('{"User": "1", "Day": "1", "Month": "9", "Year": "2002", "Ca', "malformed_message"),
+    ],
+)
+def test_refused(spark, row, reason):
+    records = clean(spark, [row, raw()])
+    assert accepted(records).count() == 1
+    (got,) = rejected(records).collect()
+    assert got.reject_reason == reason
+    assert got.raw_value == (json.dumps(row) if isinstance(row, dict) else row)
+    assert got.ingest_time is not None
+
+
+def test_no_rate_and_out_of_range(spark):
+    before = datetime(2023, 12, 31, tzinfo=timezone.utc)
+    assert rejected(clean(spark, [raw()], before)).first().reject_reason == "no_rate"
+    huge = spark.createDataFrame([(START, "USD", Decimal(10**13))], FX)
+    records = clean_raw(parse_messages(messages(spark, [raw(Amount="$9999999999.99")])), huge)
+    assert rejected(records).first().reject_reason == "amount_out_of_range"
+
+
+def test_equal_records_are_all_kept(spark):
+    assert accepted(clean(spark, [raw()] * 5)).count() == 5
+
+
+def test_every_record_has_one_outcome(spark):
+    rows = [raw(), raw(Day="40"), "{", raw(User="x"), {}]
+    records = clean(spark, rows)
+    assert accepted(records).count() + rejected(records).count() == len(rows)
+
+
+def test_batch_equals_messages(spark, tmp_path):
+    """CSV rows give what the same rows give as messages."""
+    rows = [raw(), raw(Amount="$1.50", Errors="Bad PIN,Bad CVV"), raw(Merchant='a "b", c', Zip="")]
+    path = tmp_path / "in.csv"
+    lines = [",".join(RAW_FIELDS)]
+    for row in rows:
+        lines.append(",".join('"' + row[n].replace('"', '""') + '"' if row[n] else "" for n in RAW_FIELDS))
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8-sig")
+    frame = sources.read_transactions_csv(spark, str(path))
+    assert frame.columns == list(RAW_FIELDS)
+    batch = accepted(jobs.ingest_batch(frame, rates(spark), F.lit(START))).drop("processed_at")
+    stream = accepted(clean(spark, rows)).drop("processed_at")
+    assert as_set(batch.collect()) == as_set(stream.collect())
+
+    sources.write_messages(frame, "text", str(tmp_path / "out"))
+    sent = sources.read_messages(spark, "text", str(tmp_path / "out"))
+    assert sent.columns == ["value", "timestamp"]
+    texts = sorted(bytes(r.value).decode() for r in sent.collect())
+    assert [json.loads(t) for t in texts] == sorted(rows, key=json.dumps)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    names = list(reversed(RAW_FIELDS))
+    (tmp_path / "in.csv").write_text(
+        ",".join(names) + "\n" + ",".join(PLAIN[n] for n in names) + "\n"
+    )
+    assert sources.read_transactions_csv(spark, str(tmp_path)).first().asDict() == PLAIN
+
+
+def test_lake_batch_replaces_itself(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    assert sources.read_clean(spark, lake).count() == 0
+    rows = [raw(Day=str(d)) for d in range(1, 29)] + [raw(Day="31")] + ["{bad"]
+    for _ in range(2):
+        jobs.store_batch_records(clean(spark, rows), lake, "one")
+    jobs.store_batch_records(clean(spark, [raw(), raw()]), lake, "two")
+    stored = sources.read_clean(spark, lake)
+    assert stored.schema == CLEAN
+    assert stored.count() == 30
+    refused = sources.read_rejected(spark, lake)
+    assert refused.schema == REJECTED
+    assert Counter(r.reject_reason for r in refused.collect()) == {"no_date": 1, "malformed_message": 1}
+
+
+def test_unknown_format_and_kafka_options(spark):
+    with pytest.raises(ValueError):
+        sources.read_messages(spark, "xml", "/nowhere")
+    assert sources.kafka_options("host:9092") == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "transactions",
+        "startingOffsets": "earliest",
+    }
+    assert sources.kafka_options("h", "t", "latest", 10)["maxOffsetsPerTrigger"] == "10"

@@ -1,0 +1,164 @@
+import csv
+import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom import jobs, sources
+from ledgerloom.plans import DATASETS, build_reports
+from ledgerloom.plans.reports import sort_columns
+from ledgerloom.session import scratch_dir
+from ledgerloom.sinks.publish import PublishError, publish, published_path, verify_outputs
+from ledgerloom.sinks.warehouse import csv_path, parquet_path, read_stored, write_reports
+from tests.data import ROWS, as_set, expected, frame, records
+
+
+def read_file(path):
+    with open(path, newline="") as f:
+        return list(csv.reader(f))
+
+
+@pytest.fixture(scope="module")
+def daily(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("daily")
+    checked = jobs.run_daily(spark, frame(spark), f"{base}/warehouse", f"{base}/published")
+    return base, checked.collect()
+
+
+def test_daily_publishes_everything(daily):
+    base, rows = daily
+    files = sorted(p.name for p in (base / "published").glob("*.csv"))
+    assert files == sorted(f"{d.file_stem}.csv" for d in DATASETS.values())
+    assert len(rows) == 35 and all(r.readable for r in rows)
+    for r in rows:
+        d = DATASETS[r.dataset]
+        assert r.rows == len(expected(records(), d.report.name, d.grain))
+        assert r.columns.split(",") == d.report.columns
+
+
+@pytest.mark.parametrize("key", DATASETS)
+def test_published_rows_and_order(spark, daily, key):
+    base, _ = daily
+    d = DATASETS[key]
+    typed = read_stored(spark, f"{base}/warehouse", key)
+    assert as_set(typed.collect()) == as_set(expected(records(), d.report.name, d.grain))
+    published = sources.read_report_csv(
+        spark, published_path(f"{base}/published", key), typed.schema
+    ).collect()
+    # CSV has no NULL beside the empty text: "" is quoted, NULL is not.
+    assert len(published) == typed.count()
+    in_order = typed.orderBy(*sort_columns(d.report)).collect()
+    assert [r[-1] for r in published] == [r[-1] for r in in_order]
+
+
+def test_warehouse_csv_has_headers_and_all_rows(spark, daily):
+    base, _ = daily
+    path = csv_path(f"{base}/warehouse", "city_analysis_year")
+    assert path.endswith("/city_analysis/year")
+    assert sources.read_report_csv(spark, path).columns == DATASETS["city_analysis_year"].report.columns
+    assert sources.read_report_csv(spark, path).count() == 5
+
+
+def store(spark, base, df, key="user_analysis"):
+    write_reports(spark, {key: df}, f"{base}/warehouse", csv=False)
+
+
+def users(spark, n):
+    return spark.range(n).select(
+        F.lit(datetime.date(2024, 1, 1)).alias("ds"),
+        F.col("id").cast("int").alias("user_id"),
+        (F.col("id") % 3).alias("transaction_count"),
+        F.col("id").alias("total_spent_vnd"),
+        F.col("id").cast("double").alias("avg_transaction_vnd"),
+        F.lit(1).cast("long").alias("unique_merchants"),
+        F.lit(1).cast("long").alias("unique_cities"),
+        F.lit(0).cast("long").alias("error_count"),
+    )
+
+
+def test_sorted_from_several_part_files(spark, tmp_path):
+    store(spark, tmp_path, users(spark, 1000).repartition(8, "user_id"))
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"])
+    header, *rows = read_file(f"{tmp_path}/out/user_analysis.csv")
+    assert header == DATASETS["user_analysis"].report.columns
+    keys = [(-int(r[2]), int(r[1])) for r in rows]
+    assert len(keys) == 1000 and keys == sorted(keys)
+    assert not list((tmp_path / "out" / "_staged").glob("*"))
+
+
+def test_large_dataset_becomes_sorted_files(spark, tmp_path):
+    """More rows than one task may write: several files, nothing lost, in order."""
+    store(spark, tmp_path, users(spark, 1000))
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], max_rows=100)
+    folder = tmp_path / "out" / "user_analysis.csv"
+    parts = sorted(folder.glob("part-*.csv"))
+    assert len(parts) > 5
+    keys = []
+    for part in parts:
+        header, *rows = read_file(part)
+        assert header[0] == "ds"
+        keys += [(-int(r[2]), int(r[1])) for r in rows]
+    assert len(keys) == 1000 and keys == sorted(keys)
+    assert verify_outputs(spark, f"{tmp_path}/out", ["user_analysis"]).first().rows == 1000
+    # Smaller again: the folder gives way to a file.
+    store(spark, tmp_path, users(spark, 10))
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], max_rows=100)
+    assert len(read_file(folder)) == 11
+
+
+def test_empty_report_keeps_its_header(spark, tmp_path):
+    quiet = [r for r in ROWS if r[-1] < datetime.date(2024, 2, 3)] + [
+        (1, "15", "8.00", "Bar", "Hue", "TT", "", "No", datetime.date(2024, 2, 3))
+    ]
+    checked = jobs.run_daily(spark, frame(spark, quiet), f"{tmp_path}/warehouse", f"{tmp_path}/out",
+                             names=["fraud_by_city", "daily_summary"])
+    assert {r.dataset: r.rows for r in checked.collect()}["fraud_by_city_day"] == 0
+    assert read_file(tmp_path / "out" / "day_fraud_by_city.csv") == [
+        ["merchant_city", "merchant_state", "fraud_count"]
+    ]
+
+
+def test_a_failure_is_raised_after_the_rest(spark, tmp_path):
+    store(spark, tmp_path, users(spark, 3))
+    with pytest.raises(PublishError) as caught:
+        publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["daily_summary", "user_analysis"])
+    assert set(caught.value.failures) == {"daily_summary"}
+    assert (tmp_path / "out" / "user_analysis.csv").exists()
+
+
+def test_publishing_again_replaces_the_file(spark, tmp_path):
+    for n in (5, 3):
+        store(spark, tmp_path, users(spark, n))
+        publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"])
+    assert len(read_file(tmp_path / "out" / "user_analysis.csv")) == 4
+
+
+def test_verify_reports_what_is_missing(spark, tmp_path):
+    store(spark, tmp_path, users(spark, 3))
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"])
+    with pytest.raises(FileNotFoundError, match="daily_summary"):
+        verify_outputs(spark, f"{tmp_path}/out", ["user_analysis", "daily_summary"])
+    rows = verify_outputs(spark, f"{tmp_path}/out", ["user_analysis", "daily_summary"], strict=False)
+    assert {r.dataset: (r.readable, r.rows) for r in rows.collect()} == {
+        "user_analysis": (True, 3),
+        "daily_summary": (False, None),
+    }
+    (tmp_path / "out" / "daily_summary.csv").write_text("wrong,header\n1,2\n")
+    with pytest.raises(FileNotFoundError):
+        verify_outputs(spark, f"{tmp_path}/out", ["daily_summary"])
+
+
+def test_rollups_are_removed_after_the_daily_run(spark, tmp_path, monkeypatch):
+    scratch = str(tmp_path / "scratch")
+    monkeypatch.setattr(jobs, "scratch_dir", lambda *_: scratch)
+    jobs.run_daily(spark, frame(spark), f"{tmp_path}/w", f"{tmp_path}/o", names=["daily_summary"])
+    assert not Path(scratch).exists()
+
+
+def test_stored_types(spark, tmp_path):
+    built = build_reports(frame(spark), scratch_dir(spark, "test"), ["daily_summary"])
+    write_reports(spark, built, f"{tmp_path}/w")
+    stored = spark.read.parquet(parquet_path(f"{tmp_path}/w", "daily_summary"))
+    types = dict(stored.dtypes)
+    assert types["ds"] == "date" and types["total_revenue_vnd"] == "bigint"
