@@ -4,8 +4,7 @@ import argparse
 
 from ledgerloom import jobs, sources
 from ledgerloom.plans import DATASETS
-from ledgerloom.session import get_session, scratch_dir
-from ledgerloom.sinks.warehouse import write_reports
+from ledgerloom.session import get_session
 
 
 def key_values(pairs: list[str]) -> dict[str, str]:
@@ -76,11 +75,9 @@ def main(argv: list[str] | None = None) -> None:
         rows = sources.read_transactions_csv(spark, args.input)
         sources.write_messages(rows, args.format, args.path, key_values(args.option))
     elif args.command == "reports":
-        transactions = sources.read_clean(spark, args.lake)
-        reports = jobs.build_reports(
-            transactions, scratch_dir(spark, "rollups"), threshold=args.threshold
+        jobs.store_reports(
+            spark, sources.read_clean(spark, args.lake), args.warehouse, threshold=args.threshold
         )
-        write_reports(spark, reports, args.warehouse)
     elif args.command == "daily":
         jobs.run_daily(
             spark,

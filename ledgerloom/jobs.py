@@ -20,6 +20,7 @@ __all__ = [
     "publish",
     "run_daily",
     "store_batch_records",
+    "store_reports",
     "verify_outputs",
 ]
 
@@ -37,20 +38,32 @@ def store_batch_records(records: DataFrame, lake: str, batch: str) -> None:
     write_lake(records, lake, batch)
 
 
-def run_daily(
+def store_reports(
     spark: SparkSession,
     transactions: DataFrame,
     warehouse: str,
-    dest: str,
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
-) -> DataFrame:
-    """Build, store, publish and verify, in that order."""
+) -> list[str]:
+    """Build the reports and store them; gives the ids of the datasets."""
     scratch = scratch_dir(spark, "rollups")
     try:
         reports = build_reports(transactions, scratch, names, threshold=threshold)
         write_reports(spark, reports, warehouse)
     finally:
         paths.delete(spark, scratch)
-    publish(spark, warehouse, dest, reports)
-    return verify_outputs(spark, dest, reports)
+    return list(reports)
+
+
+def run_daily(
+    spark: SparkSession,
+    transactions: DataFrame,
+    warehouse: str,
+    dest: str,
+    names: Iterable[str] | None = None,
+    threshold: int | str | None = "exact",
+) -> DataFrame:
+    """Build, store, publish and verify, in that order."""
+    stored = store_reports(spark, transactions, warehouse, names, threshold)
+    publish(spark, warehouse, dest, stored)
+    return verify_outputs(spark, dest, stored)

@@ -194,15 +194,16 @@ def build_reports(
     wanted_grains = tuple(g for g in GRAINS if any(d.grain == g for d in chosen))
     needed = list(dict.fromkeys(s for d in chosen for s in SOURCES[d.report.name]))
     bounds = LatestBounds.of(df) if wanted_grains else None
-    if "latest_high_value" in needed and isinstance(threshold, str):
-        threshold = high_value_threshold(df, threshold)
 
     @inheritable_thread_target(spark)
     def store(name: str) -> None:
         if name == FREQUENT:
             result = report(df, FREQUENT, sort=False)
         else:
-            result = roll_up(df, ROLLUPS[name], bounds, wanted_grains, threshold)
+            rollup, limit = ROLLUPS[name], threshold
+            if rollup.high_value and isinstance(limit, str):
+                limit = high_value_threshold(df, limit)
+            result = roll_up(df, rollup, bounds, wanted_grains, limit)
         result.write.mode("overwrite").parquet(f"{scratch}/{name}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:

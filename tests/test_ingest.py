@@ -167,6 +167,29 @@ def test_lake_batch_replaces_itself(spark, tmp_path):
     assert Counter(r.reject_reason for r in refused.collect()) == {"no_date": 1, "malformed_message": 1}
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    """A third of the rows are copies on one day: split over files, none lost."""
+    lake = tmp_path / "lake"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    many = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 28 + 1).cast("string").alias("day")
+    )
+    texts = many.select(
+        F.concat(F.lit(json.dumps(raw(Day=None))[:-1] + ', "Day": "'), "day", F.lit('"}'))
+        .cast("binary").alias("value"),
+        F.lit(START).alias("timestamp"),
+    )
+    try:
+        spark.conf.set(size, "20k")
+        jobs.store_batch_records(clean_raw(parse_messages(texts), rates(spark)), str(lake), "b")
+    finally:
+        spark.conf.unset(size)
+    files = Counter(p.parts[-3] for p in lake.glob("outcome=clean/ds=*/batch=b/*.parquet"))
+    assert files["ds=2002-09-01"] > 1
+    assert len(files) == 28
+    assert sources.read_clean(spark, str(lake)).count() == 30_000
+
+
 def test_unknown_format_and_kafka_options(spark):
     with pytest.raises(ValueError):
         sources.read_messages(spark, "xml", "/nowhere")

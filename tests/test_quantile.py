@@ -15,7 +15,8 @@ def brute(values, p):
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])
 @pytest.mark.parametrize("buckets", [2, 16, 4096])
 def test_exact(spark, monkeypatch, p, buckets):
-    monkeypatch.setattr(quantile, "BUCKETS", buckets)
+    monkeypatch.setattr(quantile, "SLICES", buckets)
+    monkeypatch.setattr(quantile, "SLICES_PER_DOUBLING", 1 if buckets == 2 else 64)
     rng = random.Random(7)
     values = [rng.randrange(-500, 100_000) for _ in range(200)] + [77] * 100 + [None, 2**40, -(2**40)]
     df = spark.createDataFrame([(v,) for v in values], "v long")
