@@ -161,7 +161,8 @@ SELECT t.*, r.rate, CAST(round(t.amount_usd * r.rate) AS BIGINT) AS converted
 FROM t LEFT JOIN ({RATES}) r
   ON t.ts >= r.effective_from AND (r.valid_to IS NULL OR t.ts < r.valid_to)"""
 
-CLEAN_ROW = """user_id, card_id, strftime(ts, '%H:%M:00') AS time, amount_usd,
+CLEAN_ROW = """user_id, card_id, strftime(ts, '%H:%M:00') AS time,
+  CAST(amount_usd AS DOUBLE) AS amount_usd,
   'Chip Transaction' AS use_chip, merchant_name, merchant_city, merchant_state,
   '00000' AS zip, 5411 AS mcc, has_errors, is_fraud, ds AS transaction_date, ds"""
 

@@ -42,6 +42,12 @@ SHARED = [d.id for d in DATASETS.values() if d.grain in (None, "year")]
 STORED_CSV = "city_analysis_year"
 
 
+def comparable(clean: DataFrame) -> DataFrame:
+    """Clean records without the time of processing, and with the decimal as a
+    double, which both engines hand over alike."""
+    return clean.select(*COLUMNS).withColumn("amount_usd", F.col("amount_usd").cast("double"))
+
+
 def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
@@ -111,7 +117,7 @@ def clean_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("timestamp"),
     )
     records = clean_raw(parse_messages(messages), constant_rate(spark))
-    return accepted(records).select(*COLUMNS)
+    return comparable(accepted(records))
 
 
 def clean_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +126,7 @@ def clean_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw_from_events(spark, sf_dir).select(*RAW_FIELDS)
     rows.write.options(header=True, escape='"').csv(path)
     records = jobs.ingest_batch(sources.read_transactions_csv(spark, path), constant_rate(spark))
-    return accepted(records).select(*COLUMNS)
+    return comparable(accepted(records))
 
 
 def message_archive(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -144,7 +150,7 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{scratch}/checkpoint",
         {"availableNow": True},
     ).awaitTermination()
-    return sources.read_clean(spark, f"{scratch}/lake").select(*COLUMNS)
+    return comparable(sources.read_clean(spark, f"{scratch}/lake"))
 
 
 def fx_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +129,35 @@ def test_a_hot_merchant_and_user(spark):
         assert as_set(built[key].collect()) == want, (key, hot)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_tables(spark, seed):
+    """Both forms against plain loops, on rows with gaps, copies and a hot group."""
+    rng = random.Random(seed)
+
+    def one():
+        day = datetime.date(2023, 11, 1) + datetime.timedelta(days=rng.choice([0, 1, 40, 95, 96, 120]))
+        return (
+            rng.choice([1, 1, 1, 2, 3, 4, None]),
+            rng.choice(["00", "09", "09", "23", "bad", None]),
+            rng.choice(["1.00", "2.50", "-3.10", "99999.99", None, f"{rng.randrange(900)}.37"]),
+            rng.choice(["Cafe", "Cafe", "Bar", "", None]),
+            rng.choice(["Hue", "Hanoi", None]),
+            rng.choice(["TT", "HN", "", None]),
+            rng.choice(["", "", "Bad PIN", "Yes", None]),
+            rng.choice(["No", "No", "Yes", None]),
+            day,
+        )
+
+    rows = [one() for _ in range(200)]
+    rows += [rows[0]] * 100
+    df = frame(spark, rows).cache()
+    built = build_reports(df, scratch_dir(spark, "test"))
+    for key, d in DATASETS.items():
+        want = as_set(expected(records(rows), d.report.name, d.grain))
+        assert as_set(built[key].collect()) == want, key
+        assert as_set(report(df, d.report.name, d.grain).collect()) == want, key
+
+
 @pytest.mark.parametrize("grains", [["day"], ["month"], ["day", "year"]])
 def test_chosen_grains(spark, clean, grains):
     names = ["city_analysis", "daily_summary"]
