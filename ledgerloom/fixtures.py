@@ -69,7 +69,9 @@ def transactions_from_lineitem(
     wanted = [c for c in COLUMNS if c in set(columns)]
     df = table(spark, sf_dir, "lineitem")
     if "user_id" in wanted:
-        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        # Orders grow with the facts, so they are never worth broadcasting; the
+        # shuffle also spreads facts that were stored as a single row group.
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if MERCHANT_COLUMNS & set(wanted):
         df = df.join(merchants(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"), "left")

@@ -4,11 +4,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ledgerloom.operators.clean import clean_raw, raw_records
+from ledgerloom.operators.clean import clean_raw, parse_messages, raw_records
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import paths
-from ledgerloom.sinks.lake import write_lake
+from ledgerloom.sinks.lake import replace_batch
 from ledgerloom.sinks.publish import publish, verify_outputs
 from ledgerloom.sinks.warehouse import write_reports
 from ledgerloom.streaming.ingest import ingest_stream
@@ -16,6 +16,7 @@ from ledgerloom.streaming.ingest import ingest_stream
 __all__ = [
     "build_reports",
     "ingest_batch",
+    "ingest_messages",
     "ingest_stream",
     "publish",
     "run_daily",
@@ -33,9 +34,14 @@ def ingest_batch(rows: DataFrame, rates: DataFrame, ingest_time: Column | None =
     return clean_raw(raw_records(rows, ingest_time), rates)
 
 
+def ingest_messages(messages: DataFrame, rates: DataFrame) -> DataFrame:
+    """B2 for stored messages, say a topic read from its start."""
+    return clean_raw(parse_messages(messages), rates)
+
+
 def store_batch_records(records: DataFrame, lake: str, batch: str) -> None:
-    """Store the result of ``ingest_batch``; the same ``batch`` replaces itself."""
-    write_lake(records, lake, batch)
+    """Store ingested records; stored again, the same ``batch`` replaces itself."""
+    replace_batch(records, lake, batch)
 
 
 def store_reports(

@@ -19,6 +19,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def matching(spark: SparkSession, pattern: str) -> set[str]:
+    """Files matching a glob pattern."""
+    fs, hadoop_path = file_system(spark, pattern)
+    return {str(status.getPath()) for status in fs.globStatus(hadoop_path) or ()}
+
+
 def part_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     fs, hadoop_path = file_system(spark, path)
     names = [str(status.getPath().getName()) for status in fs.listStatus(hadoop_path)]

@@ -39,7 +39,7 @@ def rates(spark):
 
 
 def clean(spark, rows, at=START):
-    return clean_raw(parse_messages(messages(spark, rows, at)), rates(spark))
+    return jobs.ingest_messages(messages(spark, rows, at), rates(spark))
 
 
 def only(spark, **changes):
@@ -167,6 +167,17 @@ def test_lake_batch_replaces_itself(spark, tmp_path):
     assert Counter(r.reject_reason for r in refused.collect()) == {"no_date": 1, "malformed_message": 1}
 
 
+def test_a_corrected_batch_leaves_nothing_behind(spark, tmp_path):
+    """Days and refusals of the first version go; other batches stay."""
+    lake = str(tmp_path / "lake")
+    jobs.store_batch_records(clean(spark, [raw(Day="1"), raw(Day="2"), "{bad"]), lake, "one")
+    jobs.store_batch_records(clean(spark, [raw(Day="1")]), lake, "two")
+    jobs.store_batch_records(clean(spark, [raw(Day="2"), raw(Day="3")]), lake, "one")
+    days = sorted(r.ds.day for r in sources.read_clean(spark, lake).collect())
+    assert days == [1, 2, 3]
+    assert sources.read_rejected(spark, lake).count() == 0
+
+
 def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     """A third of the rows are copies on one day: split over files, none lost."""
     lake = tmp_path / "lake"
