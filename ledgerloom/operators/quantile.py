@@ -29,8 +29,8 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> int | None:
     value of a slice about 1% wide. A value that fills a third of the table is
     one count like any other.
     """
-    values = df.select(F.col(column).cast("bigint").alias("v")).where("v IS NOT NULL")
-    slices = _counted(values.withColumn("n", F.lit(1)), _logarithmic(F.col("v")))
+    values = df.select(F.col(column).cast("bigint").alias("v"))
+    slices = _counted(values, _logarithmic(F.col("v")), F.count("v"))
     total = sum(piece.n for piece in slices)
     if not total:
         return None
@@ -49,7 +49,7 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> int | None:
             width = -(-(high - low + 1) // SLICES)
             inside = counts.where(F.col("v").between(low, high))
             number = F.expr(f"(CAST(v AS DECIMAL(20,0)) - {low}) DIV {width}")
-            low, high, below = _slice_of(_counted(inside, number), rank, below)
+            low, high, below = _slice_of(_counted(inside, number, F.sum("n")), rank, below)
         return low
     finally:
         counts.unpersist()
@@ -61,12 +61,13 @@ def _logarithmic(value: Column) -> Column:
     return F.floor(F.signum(x) * F.log2(F.abs(x) + 1) * SLICES_PER_DOUBLING)
 
 
-def _counted(values: DataFrame, number: Column) -> list[Row]:
+def _counted(values: DataFrame, number: Column, count: Column) -> list[Row]:
     """Rows per slice with the slice's least and greatest value, in value order;
     as many as there are slices, whatever the size of the table."""
     rows = (
         values.groupBy(number.alias("slice"))
-        .agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .agg(count.alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .where("slice IS NOT NULL")
         .collect()
     )
     return sorted(rows, key=lambda row: row.slice)
