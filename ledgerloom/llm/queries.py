@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination
+from .sampling import held_out
 from .simhash import as_hex, simhash_components
+from .toxicity import score_toxicity, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -25,6 +27,19 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = score_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.col("toxicity.spans").alias("spans"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -32,5 +47,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }
