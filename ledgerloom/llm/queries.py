@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination
+from .mixing import mix_plan
 from .sampling import held_out
+from .sharding import shard_plan
 from .simhash import as_hex, simhash_components
 from .toxicity import score_toxicity, train
 
@@ -27,6 +29,26 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = shard_plan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return plan.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mix_plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return plan.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -47,6 +69,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_sharding": op2_sharding,
+    "op3_mixing": op3_mixing,
     "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }

@@ -98,8 +98,8 @@ def simhash_components(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One row per document: its id, ``fp``, ``text_hash`` (of the exact text) and
-    ``component_id``, the smallest id that it reaches over links."""
+    """One row per document: its id, ``fp``, ``text_hash`` (of the exact text), ``root`` (the
+    smallest fingerprint that it reaches over links) and ``component_id``, the smallest id."""
     rows = stored(
         docs.select(
             F.col(id_column),
@@ -117,8 +117,8 @@ def simhash_components(
         "members",
     )
     roots = stored(members.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
-    named = stored(members.join(roots, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select(id_column, "fp", "text_hash", "component_id")
+    named = stored(members.join(roots, "root").select("fp", "root", "component_id"), "named")
+    return rows.join(named, "fp").select(id_column, "fp", "text_hash", "root", "component_id")
 
 
 def keep_one_per_component(
@@ -131,15 +131,10 @@ def keep_one_per_component(
     """``docs`` with one row of each component left: the one with the smallest id, of
     several texts with that id the one with the smallest hash, of repeated rows any."""
     found = stored(simhash_components(docs, id_column, text_column, shingle_words, max_bits), "components")
-    kept = (
-        found.groupBy("component_id", F.col("component_id").isNull())
-        .agg(F.min(F.struct(F.col(id_column).isNull().alias("none"), id_column, "text_hash")).alias("kept"))
-        .select(F.col(f"kept.{id_column}").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_hash"))
-    )
-    text_hash = F.xxhash64(F.col(text_column))
-    joined = docs.withColumn("_hash", text_hash).join(
-        kept,
-        F.col(id_column).eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")),
-        "left_semi",
-    )
-    return joined.dropDuplicates([id_column, "_hash"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    first = F.min(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "text_hash"))
+    kept = found.groupBy("component_id", "root").agg(first.alias("kept"))
+    kept = kept.select(F.struct("kept.id", F.col("kept.text_hash").alias("hash")).alias("_key"))
+    key = F.struct(F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("hash"))
+    # one row a key is wanted, so that repeated rows go too; texts are shuffled once, by the key
+    chosen = docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"])
+    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns))
