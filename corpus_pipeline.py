@@ -1,17 +1,26 @@
 """From raw documents to sharded training data, stage by stage.
 
-Each stage gets all that the one before kept, written and read again as Parquet.
+Each stage gets all that the one before kept, written and read again as Parquet. All but the
+last return the columns of ``documents``; the last adds the shard and the slot in it.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.decontaminate import drop_contaminated
-from ledgerloom.llm.simhash import keep_one_per_component
+from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.scratch import stored
+from ledgerloom.llm.sharding import shard
+from ledgerloom.llm.simhash import keep_one_per_component
+from ledgerloom.llm.toxicity import drop_toxic, train
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go."""
+    return drop_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that with the smallest id."""
     return keep_one_per_component(docs)
 
 
@@ -20,12 +29,25 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources by weight; a document comes as often as the mix takes it, 0 to 2 times."""
+    return mix(docs)
+
+
+def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A shard and a slot for every row."""
+    return shard(docs)
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("simhash_near_dedup", simhash_near_dedup),
     ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("assign_shards", assign_shards),
 ]
 
-#: SQL cannot express the first stage; tests/llm/test_pipeline.py checks by brute force.
+#: SQL cannot express the first stages; tests/llm/test_pipeline.py checks by brute force.
 ORACLE_SQL = None
 
 
