@@ -28,4 +28,70 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM texts LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-ORACLES = {"op1_decontamination": OP1}
+#: The measures, in thousandths, and what is tolerated of each.
+MEASURES = """(VALUES ('symbols', symbols, 0, 100), ('dup_lines', dup_lines, 0, 300),
+  ('repeats', repeats, 0, 350), ('word_length', word_length, 3000, 10000)) AS m(measure, value, least, most)"""
+
+
+def limits(groups: str) -> str:
+    """Fences for each of ``groups`` (column names, each followed by a comma)."""
+    return f"""
+  SELECT {groups} measure, max(total) AS rows,
+    least(any_value(least), q1 - 3 * (q3 - q1)) AS low, greatest(any_value(most), q3 + 3 * (q3 - q1)) AS high
+  FROM (SELECT {groups} measure, any_value(least) AS least, any_value(most) AS most, max(total) AS total,
+      min(CASE WHEN upto * 4 >= total THEN bucket END) AS q1,
+      min(CASE WHEN upto * 4 >= total * 3 THEN bucket END) AS q3
+    FROM (SELECT {groups} measure, bucket, least, most,
+        sum(n) OVER (PARTITION BY {groups} measure ORDER BY bucket) AS upto,
+        sum(n) OVER (PARTITION BY {groups} measure) AS total
+      FROM (SELECT {groups} measure, bucket, any_value(least) AS least, any_value(most) AS most, count(*) AS n
+        FROM measured WHERE NOT base_failed GROUP BY {groups} measure, bucket))
+    GROUP BY {groups} measure)
+  GROUP BY {groups} measure, q1, q3"""
+
+
+OP4 = rf"""
+WITH texts AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS times
+  FROM texts, unnest(range(1, len(words) - 1)) AS t(i)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM windows, unnest(range(i, i + 3)) AS t(p) WHERE times > 1 GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, greatest(len(lines), 1) AS n_lines
+  FROM texts LEFT JOIN repeated USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    n_symbols * 1000 // greatest(n_words, 1) AS symbols, n_dup_lines * 1000 // n_lines AS dup_lines,
+    n_repeat_words * 1000 // greatest(n_words, 1) AS repeats, word_chars * 1000 // greatest(n_words, 1) AS word_length
+  FROM counts),
+widths AS (
+  SELECT doc_id, lang, source, base_failed, measure, value, least, most,
+    CAST(1 AS BIGINT) << greatest(0, length(ltrim(bin(value), '0')) - 6) AS width
+  FROM judged, LATERAL (SELECT * FROM {MEASURES})),
+measured AS (SELECT *, value - value % width + width - 1 AS bucket FROM widths),
+own AS ({limits("lang, source,")}),
+by_lang AS ({limits("lang,")}),
+every AS ({limits("")}),
+outside AS (
+  SELECT DISTINCT doc_id FROM measured m
+  JOIN own o ON m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source AND m.measure = o.measure
+  JOIN by_lang l ON m.lang IS NOT DISTINCT FROM l.lang AND m.measure = l.measure
+  JOIN every e ON m.measure = e.measure
+  WHERE CASE WHEN o.rows >= 200 THEN m.value < o.low OR m.value > o.high
+    WHEN l.rows >= 200 THEN m.value < l.low OR m.value > l.high
+    ELSE m.value < e.low OR m.value > e.high END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
+FROM judged
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_quality_rules": OP4}

@@ -1,10 +1,12 @@
 """The queries of the numbered operators, each over the whole of its tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination
 from .mixing import mix_plan
+from .pii import find_pii
+from .quality_rules import quality_verdicts
 from .sampling import held_out
 from .sharding import shard_plan
 from .simhash import as_hex, simhash_components
@@ -49,6 +51,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdicts = quality_verdicts(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return verdicts.drop("text_hash", "lang", "source")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -62,6 +69,25 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BASE_KINDS = ("email", "ip", "card", "phone")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+        F.transform("pii", lambda s: s["score"]).alias("scores"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -71,6 +97,8 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "op4_quality_rules": op4_quality_rules,
     "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op10_simhash": op10_simhash,
 }
