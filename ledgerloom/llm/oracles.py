@@ -94,4 +94,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_quality_rules": OP4}
+OP5 = r"""
+WITH RECURSIVE calls AS (
+  SELECT conv_id, turn, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS after,
+    CASE turn % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'summarise' END AS name,
+    CASE turn % 3
+      WHEN 0 THEN '{"limit":' || turn || ',"query":' || to_json(string_split(text, ' ')[1]) || '}'
+      WHEN 1 THEN '{' || coalesce('"key":' || to_json(string_split(text, ' ')[30]) || ',', '') || '"strict":true}'
+      ELSE '{"max_words":' || length(text) || ',"text":' || to_json(text) || '}' END AS arguments,
+    CASE WHEN turn % 3 = 1 AND string_split(text, ' ')[30] IS NULL THEN '$.key: missing' ELSE '' END AS problems
+  FROM conversations WHERE role = 'assistant'),
+results AS (
+  SELECT turn, conv_id || '-' || (turn - 1) AS call_id, text AS content
+  FROM conversations WHERE role = 'user' AND turn > 0),
+depths AS (
+  SELECT call_id, CAST(0 AS BIGINT) AS depth FROM calls WHERE after NOT IN (SELECT call_id FROM calls)
+  UNION ALL SELECT c.call_id, d.depth + 1 FROM calls c JOIN depths d ON c.after = d.call_id)
+SELECT conv_id, coalesce(c.call_id, r.call_id) AS call_id, name, coalesce(c.turn, r.turn) AS turn, depth,
+  CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN problems <> '' THEN 'invalid'
+    WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+  coalesce(problems, '') AS problems, CAST(1 AS BIGINT) AS n_same,
+  '{"arguments":' || arguments || ',"id":' || to_json(c.call_id) || ',"name":' || to_json(name)
+    || ',"result":' || CASE WHEN r.call_id IS NULL THEN 'null' ELSE to_json(content) END || '}' AS record
+FROM calls c FULL JOIN results r ON c.call_id = r.call_id LEFT JOIN depths d ON c.call_id = d.call_id
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_quality_rules": OP4, "op5_tool_calls": OP5}

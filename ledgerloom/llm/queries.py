@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, toxicity
 from .decontaminate import find_contamination
 from .mixing import mix_plan
 from .pii import find_pii
@@ -10,7 +11,8 @@ from .quality_rules import quality_verdicts
 from .sampling import held_out
 from .sharding import shard_plan
 from .simhash import as_hex, simhash_components
-from .toxicity import score_toxicity, train
+from .site_quality import site_quality
+from .tool_calls import link_tool_calls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -56,10 +58,60 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.drop("text_hash", "lang", "source")
 
 
+#: Tools of ``op5_tool_calls``.
+SCHEMAS = {
+    "search": {
+        "type": "object",
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}},
+        "required": ["query", "limit"],
+        "additionalProperties": False,
+    },
+    "lookup": {
+        "type": "object",
+        "properties": {"key": {"type": "string"}, "strict": {"type": "boolean"}},
+        "required": ["key"],
+    },
+    "summarise": {
+        "type": "object",
+        "properties": {"text": {"type": "string"}, "max_words": {"type": "integer"}},
+        "required": ["text"],
+    },
+}
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no tool calls, so they are derived from it: every assistant turn is a call, made
+    of its words, that uses the call two turns earlier; the next user turn is its result."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+
+    def name_of(turn: Column) -> Column:
+        return F.concat_ws("-", "conv_id", turn)
+
+    words, kind = F.split("text", " "), F.col("turn") % 3
+    arguments = (
+        F.when(kind == 0, F.to_json(F.struct(F.get(words, F.lit(0)).alias("query"), F.col("turn").alias("limit"))))
+        .when(kind == 1, F.to_json(F.struct(F.lit(True).alias("strict"), F.get(words, F.lit(29)).alias("key"))))
+        .otherwise(F.to_json(F.struct(F.col("text"), F.length("text").alias("max_words"))))
+    )
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id",
+        "turn",
+        name_of(F.col("turn")).alias("call_id"),
+        F.when(kind == 0, "search").when(kind == 1, "lookup").otherwise("summarise").alias("name"),
+        arguments.alias("arguments"),
+        name_of(F.col("turn") - 2).alias("after"),
+    )
+    results = turns.where("role = 'user' and turn > 0").select(
+        "turn", name_of(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+    )
+    linked = link_tool_calls(calls, results, SCHEMAS)
+    return linked.withColumn("problems", F.array_join("problems", "; "))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    scored = score_toxicity(docs, model)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = toxicity.score_toxicity(docs, model)
     return scored.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -88,6 +140,24 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.family").alias("family"),
+    )
+
+
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no address; their source stands for the host, the language for the path."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return site_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -98,7 +168,10 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_tool_calls": op5_tool_calls,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_language_id": op8_language_id,
+    "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
 }
