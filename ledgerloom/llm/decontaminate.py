@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from .arrays import ALPHANUMERIC, LOWER, blocks, span_hashes, spread, word_bounds
+from .names import fresh
 from .scratch import stored
 
 WINDOW_WORDS = 10
@@ -149,7 +150,7 @@ def cut_spans(text: Column, spans: Column) -> Column:
     def compute(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, found in batches:
             pairs = zip(texts.cast(pa.large_binary()), found)
-            yield pa.array([without_words(t.as_py(), s.as_py()) for t, s in pairs], pa.string())
+            yield pa.array([without_words(t.as_py(), s.as_py()) if len(s) else None for t, s in pairs], pa.string())
 
     return F.when(F.size(spans) > 0, compute(text, spans)).otherwise(text)
 
@@ -174,33 +175,36 @@ def find_contamination(
         index = context.broadcast(WindowIndex(windows.collect()))
         out = docs.withColumn(into, look_up(F.col(text_column), index))
     else:
-        pieces = None
+        pieces, key, own = None, fresh(docs, "_digest"), fresh(docs, "_own")
         digest = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
         for b in range(n_blocks):
             part = windows.where(F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks)) == b)
             index = context.broadcast(WindowIndex(part.collect()))
-            hits = docs.select(digest.alias("_digest"), look_up(F.col(text_column), index).alias("f"))
-            piece = stored(hits.where(F.size("f.spans") > 0).select("_digest", "f.spans", "f.items").distinct(), "hits")
+            hits = docs.select(digest.alias(key), look_up(F.col(text_column), index).alias("f"))
+            piece = stored(hits.where(F.size("f.spans") > 0).select(key, "f.spans", "f.items").distinct(), "hits")
             index.unpersist()
             pieces = piece if pieces is None else pieces.union(piece)
         merged = stored(
-            pieces.groupBy("_digest").agg(
-                F.flatten(F.collect_list("spans")).alias("_spans"),
-                F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"),
+            pieces.groupBy(key).agg(
+                F.struct(
+                    F.flatten(F.collect_list("spans")).alias("spans"),
+                    F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+                ).alias(own)
             ),
             "hits",
         )
         counted = look_up(F.col(text_column), context.broadcast(WindowIndex([])))
-        out = docs.withColumn("_digest", digest).withColumn("_found", counted).join(merged, "_digest", "left")
+        words = fresh(docs, "_words")
+        out = docs.withColumn(key, digest).withColumn(words, counted).join(merged, key, "left")
         none = F.array().cast("array<struct<first: int, last: int>>")
         out = out.withColumn(
             into,
             F.struct(
-                F.col("_found.n_words").alias("n_words"),
-                joined_spans(F.coalesce("_spans", none)).alias("spans"),
-                F.coalesce("_items", F.array().cast("array<long>")).alias("items"),
+                F.col(f"{words}.n_words").alias("n_words"),
+                joined_spans(F.coalesce(F.col(f"{own}.spans"), none)).alias("spans"),
+                F.coalesce(F.col(f"{own}.items"), F.array().cast("array<long>")).alias("items"),
             ),
-        ).drop("_digest", "_found", "_spans", "_items")
+        ).drop(key, words, own)
     width = F.aggregate(
         F.col(f"{into}.spans"), F.lit(0).cast("long"), lambda sum_, s: sum_ + (s["last"] - s["first"] + 1)
     )
@@ -232,10 +236,13 @@ def joined_spans(spans: Column) -> Column:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without those in which a benchmark window occurs."""
-    return find_contamination(docs, items, into="_found", **options).where("_found.n_hit = 0").drop("_found")
+    found = fresh(docs, "_found")
+    judged = find_contamination(docs, items, into=found, **options)
+    return judged.where(F.col(f"{found}.n_hit") == 0).drop(found)
 
 
 def cut_contamination(docs: DataFrame, items: DataFrame, text_column: str = "text", **options) -> DataFrame:
     """``docs`` with every occurrence of a benchmark window cut out of the text."""
-    found = find_contamination(docs, items, text_column, into="_found", **options)
-    return found.withColumn(text_column, cut_spans(F.col(text_column), F.col("_found.spans"))).drop("_found")
+    found = fresh(docs, "_found")
+    judged = find_contamination(docs, items, text_column, into=found, **options)
+    return judged.withColumn(text_column, cut_spans(F.col(text_column), F.col(f"{found}.spans"))).drop(found)

@@ -19,6 +19,7 @@ not at all, so a source ends within one document of its target.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import columns, fresh
 from .runs import cell_bits, numbered_copies, row_hash, row_key, same
 from .scratch import stored
 
@@ -157,15 +158,15 @@ def mix_plan(
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
     """The mix: rows of ``docs``, each as often as the plan takes it."""
+    key, copies, number = (fresh(docs, name) for name in ("_key", "_copies", "_k"))
     plan = mix_plan(docs, id_column, text_column, source_column, **options)
     plan = stored(
         plan.where("copies > 0")
-        .groupBy(F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias("_key"))
-        .agg(F.sum("copies").alias("_copies")),
+        .groupBy(F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias(key))
+        .agg(F.sum("copies").alias(copies)),
         "plan",
     )
     # equal rows are one row here; the plan has the copies of all of them
-    rows = docs.withColumn("_key", row_key(docs, id_column)).dropDuplicates(["_key"])
-    largest = plan.agg(F.max("_copies")).first()[0] or 0
-    taken = numbered_copies(rows.join(plan, "_key"), "_copies", "_k", largest)
-    return taken.select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.withColumn(key, row_key(docs, id_column)).dropDuplicates([key])
+    largest = plan.agg(F.max(copies)).first()[0] or 0
+    return numbered_copies(rows.join(plan, key), copies, number, largest).select(*columns(docs))

@@ -9,6 +9,7 @@ rows are placed, and the places are handed out at the end.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
+from .names import fresh
 
 #: Copies that one generator step writes before steps are dealt out over tasks.
 STEP = 10_000
@@ -37,10 +38,10 @@ def numbered_copies(df: DataFrame, count: str, into: str, largest: int) -> DataF
     if largest <= STEP:
         return df.withColumn(into, F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
     starts = F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(STEP).cast("long"))
-    steps = df.withColumn("_from", F.explode(starts))
-    steps = steps.repartition("_from", *df.columns)
-    last = F.least(F.col("_from") + STEP, F.col(count)) - 1
-    return steps.withColumn(into, F.explode(F.sequence(F.col("_from"), last))).drop("_from")
+    start = fresh(df, "_from")
+    steps = df.withColumn(start, F.explode(starts)).repartition(start, count)
+    last = F.least(F.col(start) + STEP, F.col(count)) - 1
+    return steps.withColumn(into, F.explode(F.sequence(F.col(start), last))).drop(start)
 
 
 def cell_bits(df: DataFrame) -> int:

@@ -18,6 +18,7 @@ table gives an empty one.
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .names import fresh
 from .runs import cell_bits, numbered_copies, row_hash, row_key, same
 from .scratch import stored
 
@@ -148,9 +149,10 @@ def shard_plan(
 
 def shard(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with the columns ``shard`` and ``slot``, which replace columns of that name."""
+    key = fresh(docs, "_key")
     plan = shard_plan(docs, id_column, text_column, **options).select(
-        F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias("_key"), "shard", "slot"
+        F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias(key), "shard", "slot"
     )
-    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    rows = docs.withColumn("_key", row_key(docs, id_column)).select(*(F.col(f"`{c}`") for c in kept), "_key").dropDuplicates(["_key"])
-    return rows.join(plan, "_key").select(*(F.col(f"`{c}`") for c in kept), "shard", "slot")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
+    rows = docs.withColumn(key, row_key(docs, id_column)).select(*kept, key).dropDuplicates([key])
+    return rows.join(plan, key).select(*kept, "shard", "slot")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .names import columns, fresh
 from .scratch import stored
 
 SHINGLE_WORDS = 3
@@ -133,8 +134,9 @@ def keep_one_per_component(
     found = stored(simhash_components(docs, id_column, text_column, shingle_words, max_bits), "components")
     first = F.min(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "text_hash"))
     kept = found.groupBy("component_id", "root").agg(first.alias("kept"))
-    kept = kept.select(F.struct("kept.id", F.col("kept.text_hash").alias("hash")).alias("_key"))
+    mark = fresh(docs, "_key")
+    kept = kept.select(F.struct("kept.id", F.col("kept.text_hash").alias("hash")).alias(mark))
     key = F.struct(F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("hash"))
     # one row a key is wanted, so that repeated rows go too; texts are shuffled once, by the key
-    chosen = docs.withColumn("_key", key).join(kept, "_key", "left_semi").dropDuplicates(["_key"])
-    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = docs.withColumn(mark, key).join(kept, mark, "left_semi").dropDuplicates([mark])
+    return chosen.select(*columns(docs))

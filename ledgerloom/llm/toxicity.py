@@ -30,7 +30,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from .arrays import ALPHANUMERIC, LOWER, blocks, span_hashes, spread, word_bounds
-from .sampling import labelled_sample
+from .names import fresh
+from .sampling import fold, labelled_sample
 
 #: Rows of the training sample by label, and the longest text in it.
 SAMPLE = {0: 2500, 1: 1000}
@@ -259,8 +260,6 @@ def fit(sample: list[tuple[str, int]], shares: dict[int, float]) -> Crf:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE, max_chars: int = MAX_CHARS) -> Crf:
-    from .sampling import fold
-
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r.toxic: r["count"] for r in labels.where(fold() > 0).where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     total = max(1, sum(counts.values()))
@@ -311,5 +310,5 @@ def score_toxicity(docs: DataFrame, model: Crf, text_column: str = "text", into:
 
 def drop_toxic(docs: DataFrame, model: Crf, least: float = 0.5, text_column: str = "text") -> DataFrame:
     """``docs`` without those that score ``least`` or more."""
-    scored = score_toxicity(docs, model, text_column, into="_toxicity")
-    return scored.where(F.col("_toxicity.score") < least).drop("_toxicity")
+    scored = fresh(docs, "_toxicity")
+    return score_toxicity(docs, model, text_column, into=scored).where(F.col(f"{scored}.score") < least).drop(scored)

@@ -1,0 +1,102 @@
+import random
+import re
+
+import pytest
+
+from ledgerloom.llm.decontaminate import benchmark_windows, cut_contamination, drop_contaminated, find_contamination
+from tests.llm.data import nothing, plain, strange, words
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def brute(text, items, size):
+    """(words, hit places, ids of items)."""
+    own = WORD.findall((text or "").translate(LOWER))
+    hit, found = set(), set()
+    for item_id, item in items:
+        theirs = WORD.findall((item or "").translate(LOWER))
+        n = min(size, len(theirs))
+        for k in range(len(theirs) - n + 1) if n else ():
+            for i in range(len(own) - n + 1):
+                if own[i : i + n] == theirs[k : k + n]:
+                    hit |= set(range(i, i + n))
+                    if item_id is not None:
+                        found.add(item_id)
+    return own, hit, found
+
+
+def items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def random_case(seed):
+    rng = random.Random(seed)
+    vocabulary = ["Aa", "b", "ça", "d1", "é", "Zz"]
+    tests = [(i, words(seed * 100 + i, rng.choice([1, 2, 3, 4, 6, 9]), vocabulary)) for i in range(6)]
+    tests += [(6, ""), (7, None), (8, " ,;"), (None, "aa b ça d1"), (0, tests[1][1])]
+    docs = [(i, rng.choice([" ", ", ", "\n"]).join(words(seed * 1000 + i, rng.randrange(0, 40), vocabulary).split(" "))) for i in range(40)]
+    return docs + [(99, None), (99, None), (100, "")], tests
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed, block_bytes):
+    """One broadcast, and many blocks."""
+    docs, tests = random_case(seed)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = find_contamination(df, items(spark, tests), window_words=4, block_bytes=block_bytes)
+    got = {(r.doc_id, r.text): r.found for r in found.collect()}
+    assert found.count() == len(docs)
+    hits = 0
+    for doc_id, text in docs:
+        own, hit, ids = brute(text, tests, 4)
+        f = got[doc_id, text]
+        assert (f.n_words, f.n_hit, sorted(f["items"])) == (len(own), len(hit), sorted(ids))
+        assert {w for s in f.spans for w in range(s.first, s.last + 1)} == hit
+        hits += bool(hit)
+    assert 5 < hits < len(docs)
+
+
+def test_windows_of_items(spark):
+    rows = benchmark_windows(items(spark, [(1, "A b, c d"), (2, "x"), (3, ""), (4, None), (1, "A b, c d")]), "item_id", "text", 3)
+    assert {(r.item, r.n, r.window) for r in rows.collect()} == {(1, 3, "a b c"), (1, 3, "b c d"), (2, 1, "x")}
+    assert rows.count() == 3
+
+
+def test_drop_and_cut(spark):
+    docs = spark.createDataFrame(
+        [(1, "keep this: One two-THREE four! and this"), (2, "nothing here"), (3, "one two three four one two three four"), (4, None), (5, "a four one two three four")],
+        "doc_id long, text string",
+    )
+    bench = items(spark, [(1, "one two three four")])
+    assert {r.doc_id for r in drop_contaminated(docs, bench).collect()} == {2, 4}
+    cut = {r.doc_id: r.text for r in cut_contamination(docs, bench).collect()}
+    assert cut == {1: "keep this: ! and this", 2: "nothing here", 3: "", 4: None, 5: "a four "}
+    assert drop_contaminated(cut_contamination(docs, bench), bench).count() == 5
+
+
+def test_strange_rows(spark):
+    docs = strange(spark)
+    bench = items(spark, [(1, words(2, 80)), (2, "x" * 500_000), (None, None)])
+    kept = drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    gone = plain(docs.where("doc_id = 10").collect() + docs.where(docs.text == words(2, 80)).collect())
+    assert plain(kept.collect() + docs.where("doc_id = 10").collect() + docs.where(docs.text == words(2, 80)).collect()) == plain(docs.collect())
+    assert len(gone) == 2
+    blocked = find_contamination(docs, bench, block_bytes=200, into="f")
+    assert blocked.where("f.n_hit > 0").count() == 2
+    assert cut_contamination(docs, bench).columns == docs.columns
+
+
+def test_empty_tables(spark):
+    bench = items(spark, [(1, "a b c")])
+    assert drop_contaminated(nothing(spark), bench).count() == 0
+    assert drop_contaminated(strange(spark), items(spark, [])).count() == strange(spark).count()
+
+
+def test_no_shuffle_of_documents(spark, tmp_path):
+    docs = strange(spark).drop("tags")
+    docs.write.parquet(str(tmp_path / "d"))
+    found = find_contamination(spark.read.parquet(str(tmp_path / "d")), items(spark, [(1, "a b")]))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

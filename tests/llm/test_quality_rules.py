@@ -1,0 +1,98 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm.quality_rules import TOLERATED, bucket, fences, keep_good, merged, quality_verdicts, sketches, text_counts
+from tests.llm.data import STRANGE, nothing, plain, strange, words
+
+SPACED = re.compile("[^\x20\x09-\x0d]+")
+
+
+def brute(text):
+    text = text or ""
+    own = SPACED.findall(text)
+    grams = [tuple(own[i : i + 3]) for i in range(len(own) - 2)]
+    times = {g: grams.count(g) for g in set(grams)} if len(grams) < 2000 else None
+    repeated = {p for i, g in enumerate(grams) if times[g] > 1 for p in range(i, i + 3)} if times else None
+    lines = [x for x in text.split("\n") if SPACED.search(x)]
+    return {
+        "n_words": len(own),
+        "word_chars": sum(map(len, own)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(repeated) if times is not None else None,
+    }
+
+
+def random_texts():
+    rng = random.Random(7)
+    pieces = ["a", "b", "c", "é#", "x|y", "\n", "\n", "\t", "  ", "\x0b", " ", "<>"]
+    return [rng.choice([" ", " ", "\n"]).join(rng.choice(pieces) for _ in range(rng.randrange(0, 60))) for _ in range(200)]
+
+
+def test_counts_against_loops(spark):
+    texts = random_texts() + [r[1] for r in STRANGE if r[0] != 9] + ["a b c a b c a b c", "a a a a", "a b a b a", "same\nsame\n\n \nsame"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    rows = df.select("text", text_counts(F.col("text")).alias("c")).select("text", "c.words.*", "c.lines.*", "c.n_symbols").collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        want = brute(row.text)
+        assert {k: row[k] for k in want} == want, row.text
+
+
+def test_buckets(spark):
+    rows = spark.range(0, 20_000).withColumn("b", bucket(F.col("id"))).collect()
+    for r in rows:
+        assert r.id <= r.b <= r.id * (1 + 1 / 32)
+    assert [r.b for r in rows] == sorted(r.b for r in rows)
+    assert all(r.b == r.id for r in rows[:64])
+
+
+def test_sketches_merge(spark):
+    """Sketches of parts add up to the sketch of the whole, and quartiles are near the true ones."""
+    rng = random.Random(1)
+    values = [int(rng.lognormvariate(6, 1)) for _ in range(3000)]
+    df = spark.createDataFrame([(v % 3, v, v, v, v) for v in values], "part int, symbols long, dup_lines long, repeats long, word_length long")
+    parts = sketches(df, ["part"])
+    assert plain(merged(parts, []).collect()) == plain(sketches(df, []).select("measure", "bucket", "rows").collect())
+    row = fences(merged(parts, []).withColumn("one", F.lit(1)), ["one"]).first()
+    values.sort()
+    q1, q3 = values[749], values[2249]
+    assert row.rows == 3000
+    assert row.symbols_most == pytest.approx(max(TOLERATED["symbols"][1], q3 + 3 * (q3 - q1)), rel=0.15)
+
+
+def test_thresholds_follow_the_group(spark):
+    """Long words are normal in one source and not in another; sparse groups follow their language."""
+    long, short = ["rindfleischetikettierung", "donaudampfschifffahrt"] * 2, ["ab", "cdef", "ghi", "jklm", "nopqr"]
+    rows = [(i, words(i, 60, long + [f"w{i}x{j}" * 3 for j in range(30)]), "de", "law") for i in range(60)]
+    rows += [(100 + i, words(i, 60, [f"{s}{i}{j}" for s in short for j in range(20)]), "en", "web") for i in range(60)]
+    rows += [(200, words(1, 60, [f"v{j}" * 9 for j in range(60)]), "en", "web"), (201, words(1, 60, [f"v{j}" * 9 for j in range(60)]), "en", "rare")]
+    rows += [(202, words(3, 60, [f"%#{j}" for j in range(60)]), "en", "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_verdicts(docs, min_rows=20).collect()}
+    assert all(got[i].kept for i in range(60)), "long words are usual in this source"
+    assert all(got[100 + i].kept for i in range(60))
+    assert not got[200].kept and not got[201].kept and not got[202].kept
+    assert not any(r.base_failed for r in got.values())
+
+
+def test_strange_rows(spark):
+    rows = quality_verdicts(strange(spark)).collect()
+    assert len(rows) == len(STRANGE)
+    for r in rows:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    docs = strange(spark)
+    kept = keep_good(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.kept for r in rows)
+    assert quality_verdicts(nothing(spark)).count() == 0
+    assert keep_good(nothing(spark)).count() == 0
+
+
+def test_native(spark):
+    plan = quality_verdicts(strange(spark).drop("tags"))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)

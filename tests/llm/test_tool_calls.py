@@ -1,0 +1,103 @@
+import json
+import random
+
+from ledgerloom.llm.tool_calls import call_depths, canonical, check, formatted, link_tool_calls
+
+CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string"
+RESULTS = "turn long, call_id string, content string"
+SCHEMAS = {
+    "add": {
+        "type": "object",
+        "properties": {"a": {"type": "number"}, "b": {"type": "integer"}, "tags": {"type": "array", "items": {"type": "string"}}, "mode": {"enum": ["x", "y"]}},
+        "required": ["a", "b"],
+        "additionalProperties": False,
+    }
+}
+
+
+def linked(spark, calls, results):
+    rows = link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS)
+    return {r.call_id: r for r in rows.collect()}
+
+
+def test_statuses(spark):
+    good = '{"b": 2, "a": 1.50}'
+    got = linked(
+        spark,
+        [
+            (1, 1, "c1", "add", good, None),
+            (1, 3, "c2", "add", '{"a": "x"}', "c1"),
+            (1, 5, "c3", "add", "{broken", "c2"),
+            (1, 7, "c4", "sub", good, "gone"),
+            (1, 9, "c5", "add", good, None),
+            (2, 1, "l1", "add", good, "l2"),
+            (2, 2, "l2", "add", good, "l1"),
+            (2, 3, "l3", "add", good, "l1"),
+            (2, 4, None, "add", good, None),
+            (2, 5, "c6", "add", None, None),
+            (2, 6, "self", "add", good, "self"),
+        ],
+        [(2, "c1", "é\n\"3\""), (4, "c2", None), (9, "orphan", "x"), (9, None, "x"), (1, "l1", ""), (3, "c4", "r")],
+    )
+    assert {k: r.status for k, r in got.items()} == {
+        "c1": "linked", "c2": "invalid", "c3": "invalid", "c4": "invalid", "c5": "no_result", "l1": "cycle",
+        "l2": "cycle", "l3": "cycle", "c6": "invalid", "self": "cycle", "orphan": "no_call",
+    }
+    assert {k: r.depth for k, r in got.items() if r.depth} == {"c2": 1, "c3": 2}
+    assert got["c1"].record == '{"arguments":{"a":1.5,"b":2},"id":"c1","name":"add","result":"é\\n\\"3\\""}'
+    assert got["c5"].record.endswith('"result":null}')
+    assert got["c2"].problems == ["$.b: missing", "$.a: not of type number"]
+    assert got["c3"].problems == ["arguments are not JSON"] and got["c3"].record is None
+    assert got["c4"].problems == ["unknown tool sub"]
+    assert got["orphan"].record is None and got["orphan"].turn == 9
+
+
+def test_repeated_identifiers(spark):
+    """The first call and the first result count."""
+    calls = [(1, 4, "c", "add", '{"a":1,"b":4}', None), (1, 2, "c", "add", '{"a":1,"b":2}', None), (1, 2, "c", "add", '{"a":1,"b":2}', None)]
+    got = linked(spark, calls * 50, [(9, "c", "late"), (3, "c", "soon")] * 50)
+    assert len(got) == 1
+    assert got["c"].n_same == 150
+    assert json.loads(got["c"].record) == {"id": "c", "name": "add", "arguments": {"a": 1, "b": 2}, "result": "soon"}
+
+
+def test_depths_against_walks(spark):
+    rng = random.Random(4)
+    parent = {f"n{i}": (f"n{rng.randrange(i)}" if i and rng.random() < 0.9 else None) for i in range(300)}
+    parent |= {f"chain{i}": f"chain{i - 1}" if i else None for i in range(100)}
+    parent |= {"x": "y", "y": "z", "z": "x", "behind": "x", "dangling": "nowhere"}
+
+    def depth(node):
+        seen, n = set(), 0
+        while parent.get(node) in parent:
+            if node in seen:
+                return None
+            seen.add(node)
+            node, n = parent[node], n + 1
+        return n
+
+    rows = call_depths(spark.createDataFrame(list(parent.items()), "call_id string, after string")).collect()
+    assert {r.call_id: r.depth for r in rows} == {k: depth(k) for k in parent}
+
+
+def test_schema_checks():
+    schema = SCHEMAS["add"]
+    assert list(check({"a": 1, "b": 2, "tags": ["t"], "mode": "x"}, schema)) == []
+    assert list(check({"a": True, "b": 1.5, "c": 0, "tags": [1, "t"], "mode": "z"}, schema)) == [
+        "$.a: not of type number", "$.b: not of type integer", "$.c: unknown", "$.mode: not one of the values", "$.tags[0]: not of type string",
+    ]
+    assert list(check([], schema)) == ["$: not of type object"]
+
+
+def test_canonical_form():
+    assert canonical({"b": [1, {"d": None, "c": "ü"}], "a": 1.0}) == '{"a":1.0,"b":[1,{"c":"ü","d":null}]}'
+    for broken in ('{"a":1,"a":2,"b":3}', "NaN", "", None, "[1", '{"a":' * 50_000):
+        assert formatted("i", "add", broken, None, SCHEMAS)["problems"] == ["arguments are not JSON"]
+    text = '{"a": 1e3, "b": 12345678901234567890}'
+    assert json.loads(formatted("i", "add", text, None, SCHEMAS)["record"])["arguments"] == json.loads(text)
+
+
+def test_empty_tables(spark):
+    assert linked(spark, [], []) == {}
+    assert set(linked(spark, [], [(1, "a", "b")])) == {"a"}
+    assert set(linked(spark, [(1, 1, "a", None, None, None)], [])) == {"a"}
