@@ -84,7 +84,7 @@ def test_strange_rows(spark):
     gone = plain(docs.where("doc_id = 10").collect() + docs.where(docs.text == words(2, 80)).collect())
     assert plain(kept.collect() + docs.where("doc_id = 10").collect() + docs.where(docs.text == words(2, 80)).collect()) == plain(docs.collect())
     assert len(gone) == 2
-    blocked = find_contamination(docs, bench, block_bytes=200, into="f")
+    blocked = find_contamination(docs, bench, block_bytes=200_000, into="f")
     assert blocked.where("f.n_hit > 0").count() == 2
     assert cut_contamination(docs, bench).columns == docs.columns
 

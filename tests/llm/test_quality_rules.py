@@ -15,7 +15,7 @@ def brute(text):
     own = SPACED.findall(text)
     grams = [tuple(own[i : i + 3]) for i in range(len(own) - 2)]
     times = {g: grams.count(g) for g in set(grams)} if len(grams) < 2000 else None
-    repeated = {p for i, g in enumerate(grams) if times[g] > 1 for p in range(i, i + 3)} if times else None
+    repeated = {p for i, g in enumerate(grams) if times[g] > 1 for p in range(i, i + 3)} if times is not None else None
     lines = [x for x in text.split("\n") if SPACED.search(x)]
     return {
         "n_words": len(own),
