@@ -38,15 +38,18 @@ def test_marginals_against_enumeration(seed):
         assert got[row == r] == pytest.approx(enumerated(emission[row == r], m), abs=1e-4)
 
 
-def test_fit_moves_towards_the_labels():
+def test_fit_uses_the_chain():
+    """Tags that last, seen through noisy words: single words tell 70 % of the tags."""
     rng = np.random.default_rng(0)
-    places = rng.integers(0, 50, (1, 4000)).astype(np.int32)
-    labels = (places[0] < 5) | np.roll(places[0] < 5, 1)
-    first, last = row_edges(np.repeat(np.arange(400), 10))
+    first, last = row_edges(np.repeat(np.arange(200), 50))
+    labels = np.zeros(10_000, dtype=bool)
+    for t in range(1, 10_000):
+        labels[t] = False if first[t] else labels[t - 1] ^ (rng.random() < 0.08)
+    seen = labels ^ (rng.random(10_000) < 0.3)
+    places = np.where(seen, rng.integers(0, 25, 10_000), rng.integers(25, 50, 10_000))[None].astype(np.int32)
     m = toxicity.fit_crf(places, labels, first, last)
-    p = marginals(m.bias + m.weights[places[0]].astype(float), first, last, m) > 0
-    assert (p == labels).mean() > 0.93
-    assert m.stay + m.bias > -10
+    found = marginals(m.bias + m.weights[places[0]].astype(float), first, last, m) > 0
+    assert (found == labels).mean() > 0.8
 
 
 @pytest.fixture(scope="module")
@@ -99,9 +102,9 @@ def test_strange_rows(trained, spark):
 def test_without_labels(spark):
     docs = strange(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    assert {r.toxicity.score for r in score_toxicity(docs, train(docs, none)).collect()} == {pytest.approx(0, abs=1e-9)}
+    assert max(r.toxicity.score for r in score_toxicity(docs, train(docs, none)).collect()) < 1e-9
     one = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, toxic int")
-    assert {r.toxicity.score for r in score_toxicity(docs, train(docs, one)).collect()} == {pytest.approx(1, abs=1e-9)}
+    assert min(r.toxicity.score for r in score_toxicity(docs, train(docs, one)).collect()) > 1 - 1e-9
     few = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     assert score_toxicity(docs, train(docs, few)).count() == len(STRANGE)
 
