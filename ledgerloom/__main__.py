@@ -2,6 +2,8 @@
 
 import argparse
 
+from pyspark.sql import functions as F
+
 from ledgerloom import jobs, sources
 from ledgerloom.plans import DATASETS
 from ledgerloom.session import get_session
@@ -31,6 +33,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--available-now", action="store_true")
 
     batch = command("ingest-csv", "input", "lake", "rates", "batch")
+    batch.add_argument(
+        "--ingest-time", metavar="TIMESTAMP", help="decides the rate; the time of the run unless given"
+    )
     for sub in (stream, batch):
         sub.add_argument("--whole-file-rates", action="store_true")
 
@@ -38,6 +43,8 @@ def parser() -> argparse.ArgumentParser:
     send.add_argument("--format", default="kafka")
     send.add_argument("--path")
     send.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    send.add_argument("--servers")
+    send.add_argument("--topic", default="transactions")
 
     reports = command("reports", "lake", "warehouse")
     daily = command("daily", "lake", "warehouse", "dest")
@@ -51,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    if getattr(args, "format", None) == "kafka" and not args.servers:
+        raise SystemExit("--format kafka needs --servers")
     spark = get_session(f"ledgerloom-{args.command}")
     if args.command == "ingest-stream":
         options = key_values(args.option)
@@ -69,11 +78,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "ingest-csv":
         rows = sources.read_transactions_csv(spark, args.input)
         rates = sources.read_rates_json(spark, args.rates, args.whole_file_rates)
-        records = jobs.ingest_batch(rows, rates)
+        time = F.to_timestamp(F.lit(args.ingest_time)) if args.ingest_time else None
+        records = jobs.ingest_batch(rows, rates, time)
         jobs.store_batch_records(records, args.lake, args.batch)
     elif args.command == "send-csv":
         rows = sources.read_transactions_csv(spark, args.input)
-        sources.write_messages(rows, args.format, args.path, key_values(args.option))
+        options = key_values(args.option)
+        if args.format == "kafka":
+            options |= {"kafka.bootstrap.servers": args.servers, "topic": args.topic}
+        sources.write_messages(rows, args.format, args.path, options)
     elif args.command == "reports":
         jobs.store_reports(
             spark, sources.read_clean(spark, args.lake), args.warehouse, threshold=args.threshold

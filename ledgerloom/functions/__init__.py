@@ -2,8 +2,6 @@ from ledgerloom.functions.columns import (
     complete_time,
     day_type,
     hour_of_day,
-    is_error,
-    is_fraud,
     parse_date,
     parse_int,
     parse_money,
@@ -15,8 +13,6 @@ __all__ = [
     "complete_time",
     "day_type",
     "hour_of_day",
-    "is_error",
-    "is_fraud",
     "parse_date",
     "parse_int",
     "parse_money",

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 
 def parse_money(text: Column) -> Column:
-    """``$134.09`` -> 134.09; a sign after the symbol is kept."""
-    return F.regexp_replace(text, r"\$", "").try_cast("decimal(12,2)")
+    """``$134.09`` -> 134.09; a sign after the symbol is kept. Wide enough for any
+    amount, so that one too large for the table is told from one that is no number."""
+    return F.regexp_replace(text, r"\$", "").try_cast("decimal(38,2)")
 
 
 def parse_int(text: Column) -> Column:
@@ -20,8 +21,9 @@ def parse_int(text: Column) -> Column:
 
 def parse_date(day: Column, month: Column, year: Column) -> Column:
     """A date out of three integers; NULL if one is missing or impossible."""
-    two = [F.lpad(part.cast("string"), 2, "0") for part in (day, month)]
-    return F.try_to_date(F.concat_ws("/", *two, year.cast("string")), "dd/MM/yyyy")
+    midnight = [F.lit(0)] * 3
+    moment = F.try_make_timestamp_ntz(year, month, day, *midnight)
+    return F.when(year.between(1000, 9999), moment.cast("date"))
 
 
 def complete_time(text: Column) -> Column:
@@ -50,12 +52,3 @@ def percent(part: Column, whole: Column) -> Column:
     """Share in percent, two decimals."""
     return F.round(F.try_divide(part, whole) * 100, 2)
 
-
-def is_error() -> Column:
-    """the error text is not empty; a missing text is no error."""
-    return F.col("has_errors") != ""
-
-
-def is_fraud() -> Column:
-    """F5."""
-    return F.col("is_fraud") == "Yes"

@@ -16,6 +16,9 @@ MALFORMED_MESSAGE = "malformed_message"
 NO_DATE = "no_date"
 NO_RATE = "no_rate"
 OUT_OF_RANGE = "amount_out_of_range"
+NOT_A_NUMBER = "amount_not_a_number"
+
+AMOUNT_PROBLEM = "amount_problem"
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -34,23 +37,32 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 
 def raw_records(rows: DataFrame, ingest_time=None) -> DataFrame:
-    """Raw rows (say, from CSV) in the form ``parse_messages`` gives."""
+    """Raw rows (say, from CSV) in the form ``parse_messages`` gives.
+
+    A column ``malformed_text`` marks rows whose fields could not be told apart.
+    """
+    marked, text = MALFORMED in rows.columns, F.to_json(F.struct(*RAW_FIELDS))
     return rows.select(
-        F.to_json(F.struct(*RAW_FIELDS)).alias("raw_value"),
+        (F.coalesce(MALFORMED, text) if marked else text).alias("raw_value"),
         (F.current_timestamp() if ingest_time is None else ingest_time).alias("ingest_time"),
         *RAW_FIELDS,
-        F.lit(None).cast("string").alias(MALFORMED),
+        (F.col(MALFORMED) if marked else F.lit(None).cast("string")).alias(MALFORMED),
     )
 
 
 def type_records(raw: DataFrame) -> DataFrame:
     """Names, types, date, time and partition day in one projection."""
     transaction_date = parse_date(*[parse_int(F.col(part)) for part in ("Day", "Month", "Year")])
+    amount = parse_money(F.col("Amount"))
+    amount_usd = amount.try_cast(CLEAN["amount_usd"].dataType)
+    problem = F.when((F.trim("Amount") != "") & amount.isNull(), NOT_A_NUMBER).when(
+        amount.isNotNull() & amount_usd.isNull(), OUT_OF_RANGE
+    )
     return raw.select(
         parse_int(F.col("User")).alias("user_id"),
         parse_int(F.col("Card")).alias("card_id"),
         complete_time(F.col("Time")).alias("time"),
-        parse_money(F.col("Amount")).alias("amount_usd"),
+        amount_usd.alias("amount_usd"),
         F.col("Use Chip").alias("use_chip"),
         F.col("Merchant Name").alias("merchant_name"),
         F.col("Merchant City").alias("merchant_city"),
@@ -65,6 +77,7 @@ def type_records(raw: DataFrame) -> DataFrame:
         "raw_value",
         "ingest_time",
         MALFORMED,
+        problem.alias(AMOUNT_PROBLEM),
     )
 
 
@@ -73,6 +86,7 @@ def refuse(converted: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col(MALFORMED).isNotNull(), MALFORMED_MESSAGE)
         .when(F.col("ds").isNull(), NO_DATE)
+        .when(F.col(AMOUNT_PROBLEM).isNotNull(), F.col(AMOUNT_PROBLEM))
         .when(F.col("amount_usd").isNotNull() & F.col("vnd_per_usd").isNull(), NO_RATE)
         .when(F.col("amount_usd").isNotNull() & F.col("amount_vnd").isNull(), OUT_OF_RANGE)
     )

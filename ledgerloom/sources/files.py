@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.clean import ACCEPTED, REFUSED
+from ledgerloom.operators.clean import ACCEPTED, MALFORMED, REFUSED
 from ledgerloom.schema import CLEAN, RAW_FIELDS, REJECTED
 from ledgerloom.sinks.paths import exists
 
@@ -34,12 +34,21 @@ def read_rejected(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw transactions from CSV with a header, columns found by name.
+    """Raw transactions from CSV with a header, columns found by its names.
 
-    An empty field is the empty string, as in a message, not NULL.
+    All files must have the same header: one that differs fails the job rather than
+    being read by position. An empty field is the empty string, as in a message,
+    not NULL. A row with too many or too few fields has its text in the column
+    ``malformed_text``, which is NULL otherwise.
     """
-    rows = spark.read.options(header=True, escape='"').csv(path)
-    return rows.select(*[F.col(f"`{name}`") for name in RAW_FIELDS]).fillna("")
+    options = {"header": True, "escape": '"'}
+    names = spark.read.options(**options).csv(path).columns
+    fields = [T.StructField(name, T.StringType()) for name in (*names, MALFORMED)]
+    reader = spark.read.options(
+        **options, enforceSchema=False, columnNameOfCorruptRecord=MALFORMED, columnPruning=False
+    )
+    rows = reader.schema(T.StructType(fields)).csv(path)
+    return rows.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in RAW_FIELDS], MALFORMED)
 
 
 def read_report_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ was taken in, which decides the exchange rate:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.clean import MALFORMED
 from ledgerloom.schema import MESSAGE, RAW_FIELDS
 
 FORMATS = ("kafka", "text", "parquet")
@@ -60,8 +61,12 @@ def read_messages(
 
 
 def to_messages(rows: DataFrame) -> DataFrame:
-    """One JSON value per raw row."""
-    return rows.select(F.to_json(F.struct(*RAW_FIELDS)).alias("value"))
+    """One JSON value per raw row; a row that could not be read goes out as its text, to
+    be refused where it is taken in."""
+    value = F.to_json(F.struct(*RAW_FIELDS))
+    if MALFORMED in rows.columns:
+        value = F.coalesce(F.col(MALFORMED), value)
+    return rows.select(value.alias("value"))
 
 
 def write_messages(

@@ -33,6 +33,17 @@ def test_csv_to_published_files(spark, tmp_path, capsys):
     assert "daily_summary" in capsys.readouterr().out
 
 
+def test_ingest_time_decides_the_rate(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(",".join(RAW_FIELDS) + "\n" + ",".join((PLAIN | {"Amount": "$1.00"})[n] for n in RAW_FIELDS) + "\n")
+    (tmp_path / "rates.json").write_text("\n".join(json.dumps({"date": d, "usd": {"vnd": v}}) for d, v in [("2002-01-01", 100), ("2003-01-01", 200)]))
+    lake = str(tmp_path / "lake")
+    for time, want in (("2002-06-01 00:00:00", 100), ("2004-01-01 00:00:00", 200)):
+        main(["ingest-csv", "--input", str(tmp_path / "in.csv"), "--lake", lake, "--batch", "b", "--rates", str(tmp_path / "rates.json"), "--ingest-time", time])
+        assert [r.amount_vnd for r in sources.read_clean(spark, lake).collect()] == [want]
+
+
 def test_arguments_are_required():
+    with pytest.raises(SystemExit):
+        main(["send-csv", "--input", "x"])
     with pytest.raises(SystemExit):
         main(["daily"])

@@ -81,11 +81,3 @@ def test_percent(spark):
     df = spark.createDataFrame([(1, 3), (0, 5), (0, 0)], "a long, b long")
     got = [r[0] for r in df.select(L.percent(F.col("a"), F.col("b"))).collect()]
     assert got == [33.33, 0.0, None]
-
-
-def test_predicates(spark):
-    df = spark.createDataFrame(
-        [("", "No"), ("Bad PIN", "Yes"), (None, None), ("Yes", "yes")], "has_errors string, is_fraud string"
-    )
-    assert df.where(L.is_error()).count() == 2
-    assert df.where(L.is_fraud()).count() == 1

@@ -69,7 +69,9 @@ def test_schema(spark):
     [
         ({"Amount": "$-99.00"}, "amount_vnd", -2512620),
         ({"Amount": "$99999.99"}, "amount_vnd", 2537999746),
-        ({"Amount": "free"}, "amount_vnd", None),
+        ({"Amount": ""}, "amount_vnd", None),
+        ({"Amount": None}, "amount_vnd", None),
+        ({"Amount": "$9999999999.99"}, "amount_usd", Decimal("9999999999.99")),
         ({"Month": "12", "Day": "31"}, "ds", date(2002, 12, 31)),
         ({"User": "x"}, "user_id", None),
         ({"Time": "bad"}, "time", "bad:00"),
@@ -89,6 +91,12 @@ def test_field(spark, changes, column, want):
     [
         (raw(Day="31", Month="2"), "no_date"),
         (raw(Day=None), "no_date"),
+        (raw(Day="123"), "no_date"),
+        (raw(Month="100"), "no_date"),
+        (raw(Year="24"), "no_date"),
+        (raw(Amount="free"), "amount_not_a_number"),
+        (raw(Amount="$1,234.50"), "amount_not_a_number"),
+        (raw(Amount="$12345678901.00"), "amount_out_of_range"),
         ({}, "no_date"),
         (None, "no_date"),
         ("{bad", "malformed_message"),
@@ -132,7 +140,7 @@ def test_batch_equals_messages(spark, tmp_path):
         lines.append(",".join('"' + row[n].replace('"', '""') + '"' if row[n] else "" for n in RAW_FIELDS))
     path.write_text("\n".join(lines) + "\n", encoding="utf-8-sig")
     frame = sources.read_transactions_csv(spark, str(path))
-    assert frame.columns == list(RAW_FIELDS)
+    assert frame.columns == [*RAW_FIELDS, "malformed_text"]
     batch = accepted(jobs.ingest_batch(frame, rates(spark), F.lit(START))).drop("processed_at")
     stream = accepted(clean(spark, rows)).drop("processed_at")
     assert as_set(batch.collect()) == as_set(stream.collect())
@@ -149,7 +157,30 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
         ",".join(names) + "\n" + ",".join(PLAIN[n] for n in names) + "\n"
     )
-    assert sources.read_transactions_csv(spark, str(tmp_path)).first().asDict() == PLAIN
+    row = sources.read_transactions_csv(spark, str(tmp_path)).first().asDict()
+    assert row == PLAIN | {"malformed_text": None}
+
+
+def test_csv_headers_must_agree(spark, tmp_path):
+    for i, names in enumerate((RAW_FIELDS, list(reversed(RAW_FIELDS)))):
+        (tmp_path / f"{i}.csv").write_text(",".join(names) + "\n" + ",".join(PLAIN[n] for n in names) + "\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_transactions_csv(spark, str(tmp_path)).collect()
+
+
+def test_ragged_csv_rows_are_refused(spark, tmp_path):
+    good = ",".join(PLAIN[n] for n in RAW_FIELDS)
+    lines = [good, good + ",more", ",".join(good.split(",")[:9]), good]
+    (tmp_path / "in.csv").write_text("\n".join([",".join(RAW_FIELDS), *lines]) + "\n")
+    frame = sources.read_transactions_csv(spark, str(tmp_path))
+    records = jobs.ingest_batch(frame, rates(spark), F.lit(START))
+    assert accepted(records).count() == 2
+    refused = rejected(records).collect()
+    assert {(r.reject_reason, r.raw_value) for r in refused} == {("malformed_message", x) for x in lines[1:3]}
+    # sent on as messages, they are refused there
+    sources.write_messages(frame, "text", str(tmp_path / "out"))
+    again = jobs.ingest_messages(sources.read_messages(spark, "text", str(tmp_path / "out")), rates(spark))
+    assert accepted(again).count() == 2 and rejected(again).count() == 2
 
 
 def test_lake_batch_replaces_itself(spark, tmp_path):
