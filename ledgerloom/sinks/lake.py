@@ -10,8 +10,7 @@ def write_lake(records: DataFrame, lake: str, batch: str) -> None:
     """Store one batch below ``lake/outcome=.../ds=.../batch=...``.
 
     Clean and refused records go out in one job, so the input is read once. A
-    batch that is written again replaces the directories it has rows for, which
-    is all a repeated stream batch needs, its rows being the same. Rows are
+    batch that is written again replaces the directories it has rows for. Rows are
     gathered by day before writing, or every task would leave a small file in
     every day; adaptive execution splits a day that is too large for one task.
     """
@@ -26,8 +25,9 @@ def write_lake(records: DataFrame, lake: str, batch: str) -> None:
 
 
 def replace_batch(records: DataFrame, lake: str, batch: str) -> None:
-    """As ``write_lake``, for a batch whose rows may differ from the last time:
-    days and outcomes it no longer has rows for are removed as well."""
+    """As ``write_lake``, for a batch that may have been stored before with other rows (a
+    corrected file, a replay after new rates): days and outcomes it no longer has rows
+    for are removed as well."""
     spark = records.sparkSession
     pattern = f"{lake}/outcome=*/ds=*/batch={batch}/*"
     before = paths.matching(spark, pattern)

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators.clean import clean_raw, parse_messages
-from ledgerloom.sinks.lake import write_lake
+from ledgerloom.sinks.lake import replace_batch
 
 
 def store_batch(messages: DataFrame, rates: DataFrame, lake: str, batch: str) -> None:
     """Clean, convert and store one batch of messages; nothing if it is empty."""
     if messages.isEmpty():
         return
-    write_lake(clean_raw(parse_messages(messages), rates), lake, batch)
+    # not write_lake: rates may have come since a first, uncommitted attempt, and then
+    # records change sides
+    replace_batch(clean_raw(parse_messages(messages), rates), lake, batch)
 
 
 def ingest_stream(

@@ -79,6 +79,19 @@ def test_replayed_batch_adds_nothing(world, tmp_path):
     assert sources.read_rejected(world.spark, world.lake).count() == 1
 
 
+def test_replayed_batch_after_new_rates(world, tmp_path):
+    """A rate came between the attempt that was lost and the replay: records change sides."""
+    world.rates = lambda spark: spark.createDataFrame([], FX)
+    world.send([raw(), raw(Day="2"), "{bad"])
+    world.run()
+    assert (world.clean().count(), sources.read_rejected(world.spark, world.lake).count()) == (0, 3)
+    for lost in (tmp_path / "checkpoint" / "commits").glob("*0*"):
+        shutil.move(lost, tmp_path / lost.name.lstrip("."))
+    world.rates = lambda spark: spark.createDataFrame([(START, "USD", Decimal(25000))], FX)
+    world.run()
+    assert (world.clean().count(), sources.read_rejected(world.spark, world.lake).count()) == (2, 1)
+
+
 def test_late_rows_reach_their_own_day(world):
     world.send([raw(Day="5"), raw(Day="5")])
     world.run()
