@@ -4,6 +4,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ledgerloom.failures import DatasetFailures
 from ledgerloom.operators.clean import clean_raw, parse_messages, raw_records
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
@@ -50,15 +51,26 @@ def store_reports(
     warehouse: str,
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
+    failures: dict[str, Exception] | None = None,
 ) -> list[str]:
-    """Build the reports and store them; gives the ids of the datasets."""
+    """Build the reports and store them; gives the ids of the datasets stored in this run.
+
+    A failure does not stop the rest. It is noted in ``failures``, or raised at the end.
+    """
     scratch = scratch_dir(spark, "rollups")
+    noted: dict[str, Exception] = {}
     try:
-        reports = build_reports(transactions, scratch, names, threshold=threshold)
-        write_reports(spark, reports, warehouse)
+        reports = build_reports(transactions, scratch, names, threshold=threshold, failures=noted)
+        try:
+            write_reports(spark, reports, warehouse)
+        except DatasetFailures as error:
+            noted |= error.failures
     finally:
         paths.delete(spark, scratch)
-    return list(reports)
+    if noted and failures is None:
+        raise DatasetFailures(noted)
+    (failures if failures is not None else noted).update(noted)
+    return [d for d in reports if d not in noted]
 
 
 def run_daily(
@@ -69,7 +81,19 @@ def run_daily(
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
 ) -> DataFrame:
-    """Build, store, publish and verify, in that order."""
-    stored = store_reports(spark, transactions, warehouse, names, threshold)
-    publish(spark, warehouse, dest, stored)
-    return verify_outputs(spark, dest, stored)
+    """Build, store, publish and verify, in that order.
+
+    A dataset that fails in a step is left out of the later ones, so an older table is never
+    published in its place; the others go on, and the job fails at the end.
+    """
+    failures: dict[str, Exception] = {}
+    stored = store_reports(spark, transactions, warehouse, names, threshold, failures)
+    try:
+        publish(spark, warehouse, dest, stored)
+    except DatasetFailures as error:
+        failures |= error.failures
+    published = [d for d in stored if d not in failures]
+    checked = verify_outputs(spark, dest, published, warehouse=warehouse)
+    if failures:
+        raise DatasetFailures(failures)
+    return checked

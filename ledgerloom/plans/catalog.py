@@ -4,6 +4,8 @@ from dataclasses import dataclass
 
 from ledgerloom.operators.grains import GRAINS
 
+# Names of datasets and their columns, which readers rely on, and the
+# conditions F4 (the error text is not empty; a missing text is no error) and F5.
 ERROR = "has_errors <> ''"
 FRAUD = "is_fraud = 'Yes'"
 
@@ -42,6 +44,12 @@ class Report:
         extra = [self.ratio[0]] if self.ratio else []
         return [*self.keys, *self.measures, *extra]
 
+    @property
+    def one_file(self) -> bool:
+        """Published as one file: rows are bounded by hours, days or places. Reports by user or
+        merchant grow with the business and are always a folder of files."""
+        return not {"user_id", "merchant_name"} & set(self.keys)
+
     @property
     def order(self) -> list[tuple[str, bool]]:
         """(column, descending): the report's measure, then the keys to settle ties."""

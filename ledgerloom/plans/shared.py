@@ -1,13 +1,13 @@
 """All reports from a few rollups instead of one scan per report.
 
 Every report of a grain family reads the same latest year, and many have equal
-or nested keys. So the table is aggregated seven times, each result is stored in
+or nested keys. So the table is aggregated eight times, each result is stored in
 the shared scratch folder, and the 35 datasets are derived from those:
 
 * the latest year once per key set, a row being counted in each grain (day,
   month, year) it belongs to;
-* the whole history once by user and day, once by merchant and day, and once
-  for repeated purchases within an hour.
+* the whole history once by user and day, once by merchant and day, once by day and
+  day type, and once for repeated purchases within an hour.
 """
 
 from collections.abc import Iterable
@@ -18,7 +18,6 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import day_type
 from ledgerloom.operators.grains import GRAINS, LatestBounds
 from ledgerloom.plans.catalog import ERROR, FRAUD, Dataset, select_datasets
 from ledgerloom.plans.reports import (
@@ -104,6 +103,11 @@ ROLLUPS = {
             "by_merchant_day", ("ds", "merchant_name", "merchant_city"),
             {"n": "count(*)", "frauds": f"count_if({FRAUD})"},
         ),
+        # a purchase may be stored under another day than its own
+        Rollup(
+            "by_day_type", ("ds", "day_type"),
+            {"n": "count(*)", "total": "sum(amount_vnd)", "amounts": "count(amount_vnd)"},
+        ),
     )
 }
 
@@ -171,7 +175,7 @@ DERIVED = {
 #: Rollups that each report reads, the special ones included.
 SOURCES = {name: (d.rollup,) for name, d in DERIVED.items()} | {
     "daily_summary": ("by_user_day", "by_merchant_day"),
-    "weekday_vs_weekend": ("by_user_day",),
+    "weekday_vs_weekend": ("by_day_type",),
     FREQUENT: (FREQUENT,),
 }
 
@@ -183,11 +187,13 @@ def build_reports(
     grains: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
     parallel: int = 4,
+    failures: dict[str, Exception] | None = None,
 ) -> dict[str, DataFrame]:
     """The chosen datasets by id, each reading rollups stored below ``scratch``.
 
     The rollups are written here, ``parallel`` at a time; the returned frames are
-    lazy and need ``scratch`` until they have been written.
+    lazy and need ``scratch`` until they have been written. With ``failures``, a rollup
+    that fails is no error: its datasets are left out and noted there.
     """
     spark = df.sparkSession
     chosen = select_datasets(names, grains)
@@ -195,7 +201,17 @@ def build_reports(
     needed = list(dict.fromkeys(s for d in chosen for s in SOURCES[d.report.name]))
     bounds = LatestBounds.of(df) if wanted_grains else None
 
+    failed: dict[str, Exception] = {}
+
     @inheritable_thread_target(spark)
+    def attempt(name: str) -> None:
+        try:
+            store(name)
+        except Exception as error:
+            if failures is None:
+                raise
+            failed[name] = error
+
     def store(name: str) -> None:
         if name == FREQUENT:
             result = report(df, FREQUENT, sort=False)
@@ -207,9 +223,16 @@ def build_reports(
         result.write.mode("overwrite").parquet(f"{scratch}/{name}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(store, needed))
-    rollups = {name: spark.read.parquet(f"{scratch}/{name}") for name in needed}
-    return {d.id: derive(d, rollups) for d in chosen}
+        list(pool.map(attempt, needed))
+    rollups = {n: spark.read.parquet(f"{scratch}/{n}") for n in needed if n not in failed}
+    built = {}
+    for d in chosen:
+        missing = [s for s in SOURCES[d.report.name] if s in failed]
+        if missing:
+            failures[d.id] = failed[missing[0]]
+        else:
+            built[d.id] = derive(d, rollups)
+    return built
 
 
 def roll_up(
@@ -241,7 +264,7 @@ def derive(dataset: Dataset, rollups: dict[str, DataFrame]) -> DataFrame:
     if spec.name == "daily_summary":
         return daily_summary(rollups["by_user_day"], rollups["by_merchant_day"])
     if spec.name == "weekday_vs_weekend":
-        return weekday_vs_weekend(rollups["by_user_day"])
+        return weekday_vs_weekend(rollups["by_day_type"])
     plan = DERIVED[spec.name]
     rows = rollups[plan.rollup]
     if dataset.grain:
@@ -294,10 +317,9 @@ def daily_summary(by_user_day: DataFrame, by_merchant_day: DataFrame) -> DataFra
     )
 
 
-def weekday_vs_weekend(by_user_day: DataFrame) -> DataFrame:
+def weekday_vs_weekend(by_day_type: DataFrame) -> DataFrame:
     return (
-        days(by_user_day)
-        .groupBy(day_type(F.col("ds")).alias("day_type"))
+        by_day_type.groupBy("day_type")
         .agg(
             F.sum("n").alias("transaction_count"),
             F.sum("total").alias("total_amount_vnd"),

@@ -19,6 +19,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def matching(spark: SparkSession, pattern: str) -> set[str]:
     """Files matching a glob pattern."""
     fs, hadoop_path = file_system(spark, pattern)

@@ -1,4 +1,8 @@
-"""Published files (S8, S9, B4): one sorted CSV per dataset."""
+"""Published files (S8, S9, B4): one sorted CSV per dataset.
+
+The layout is fixed by the report, not by its size: a file where hours, days or places bound the
+rows, a folder of sorted files where users or merchants do not.
+"""
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -7,57 +11,53 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.failures import DatasetFailures
 from ledgerloom.plans.catalog import DATASETS
 from ledgerloom.plans.reports import sort_columns
 from ledgerloom.sinks import paths
 from ledgerloom.sinks.warehouse import read_stored, stored_datasets
 
-#: The most rows one task writes as one file. Larger datasets become a folder of
-#: sorted files, all rows kept.
-SINGLE_FILE_ROWS = 2_000_000
-
+#: About the rows of one file in a folder.
+FILE_ROWS = 2_000_000
 
-class PublishError(RuntimeError):
-    """Some datasets failed; ``failures`` maps their ids to the errors."""
 
-    def __init__(self, failures: dict[str, Exception]):
-        self.failures = failures
-        details = "; ".join(f"{name}: {error}" for name, error in failures.items())
-        super().__init__(f"{len(failures)} dataset(s) not published: {details}")
+class PublishError(DatasetFailures):
+    """Some datasets were not published."""
 
 
 def published_path(dest: str, dataset_id: str) -> str:
     return f"{dest}/{DATASETS[dataset_id].file_stem}.csv"
 
 
-def publish_one(df: DataFrame, dataset_id: str, dest: str, max_rows: int) -> None:
+def publish_one(df: DataFrame, dataset_id: str, dest: str, file_rows: int) -> None:
     """Write beside the target, look at the result, then put it in place.
 
-    The old file is removed just before the rename, so readers may miss it for
-    that moment; the rename itself is atomic only on stores where renames are.
+    The old file is moved aside, and deleted when the new one is in place: after a crash in
+    between, one of the two is there to be found. Readers may miss it for that moment.
     """
     spark = df.sparkSession
     spec = DATASETS[dataset_id].report
     target = published_path(dest, dataset_id)
     staged = f"{dest}/_staged/{DATASETS[dataset_id].file_stem}"
     order = sort_columns(spec)
-    files = max(1, -(-df.count() // max_rows))
-    if files == 1:
+    if spec.one_file:
         rows = df.coalesce(1).sortWithinPartitions(*order)
     else:
         # The keys settle ties, so equal measures do not pile up in one range.
+        files = max(1, -(-df.count() // file_rows))
         rows = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
     rows.write.mode("overwrite").option("header", True).csv(staged)
     written = paths.part_files(spark, staged, ".csv")
     if not written:
         raise OSError(f"nothing written to {staged}")
+    aside = f"{dest}/_replaced/{DATASETS[dataset_id].file_stem}.csv"
     if paths.exists(spark, target):
-        paths.delete(spark, target)
-    if files == 1:
-        paths.rename(spark, f"{staged}/{written[0]}", target)
-        paths.delete(spark, staged)
-    else:
-        paths.rename(spark, staged, target)
+        paths.delete(spark, aside)
+        paths.make_folder(spark, f"{dest}/_replaced")
+        paths.rename(spark, target, aside)
+    paths.rename(spark, f"{staged}/{written[0]}" if spec.one_file else staged, target)
+    paths.delete(spark, staged)
+    paths.delete(spark, aside)
 
 
 def publish(
@@ -65,7 +65,7 @@ def publish(
     warehouse: str,
     dest: str,
     ids: Iterable[str] | None = None,
-    max_rows: int = SINGLE_FILE_ROWS,
+    file_rows: int = FILE_ROWS,
     parallel: int = 4,
 ) -> None:
     """Publish stored datasets; the rest goes on past a failure, which is
@@ -75,7 +75,7 @@ def publish(
     @inheritable_thread_target(spark)
     def attempt(dataset_id: str) -> None:
         try:
-            publish_one(read_stored(spark, warehouse, dataset_id), dataset_id, dest, max_rows)
+            publish_one(read_stored(spark, warehouse, dataset_id), dataset_id, dest, file_rows)
         except Exception as error:
             failures[dataset_id] = error
 
@@ -86,38 +86,35 @@ def publish(
 
 
 def verify_outputs(
-    spark: SparkSession, dest: str, ids: Iterable[str] | None = None, strict: bool = True
+    spark: SparkSession,
+    dest: str,
+    ids: Iterable[str] | None = None,
+    strict: bool = True,
+    warehouse: str | None = None,
 ) -> DataFrame:
     """(dataset, readable, rows, columns) of each published file.
 
-    With ``strict``, a missing or unreadable file raises.
+    The files are read to the end here and now. With ``warehouse``, a file is readable
+    only if it has as many rows as the stored dataset. With ``strict``, a missing or
+    unreadable file raises.
     """
+    schema = "dataset string, readable boolean, rows bigint, columns string"
     checks, unreadable = [], []
     for dataset_id in stored_datasets(ids):
-        label = F.lit(dataset_id).alias("dataset")
         try:
-            rows = spark.read.option("header", True).csv(published_path(dest, dataset_id))
-            names = ",".join(rows.columns)
-            if rows.columns != DATASETS[dataset_id].report.columns:
+            found = spark.read.option("header", True).csv(published_path(dest, dataset_id))
+            names = ",".join(found.columns)
+            if found.columns != DATASETS[dataset_id].report.columns:
                 raise ValueError(f"columns {names}")
-            checks.append(
-                rows.agg(F.count("*").alias("rows")).select(
-                    label, F.lit(True).alias("readable"), "rows", F.lit(names).alias("columns")
-                )
-            )
+            # all columns are parsed, so that a row cut short shows; one count comes back
+            last = F.col(found.columns[-1])
+            n = found.agg(F.count("*").alias("rows"), F.count(last)).first().rows
+            if warehouse and n != (stored := read_stored(spark, warehouse, dataset_id).count()):
+                raise ValueError(f"{n} rows, {stored} stored")
+            checks.append((dataset_id, True, n, names))
         except Exception as error:
             unreadable.append(f"{dataset_id}: {error}")
-            checks.append(
-                spark.range(1).select(
-                    label,
-                    F.lit(False).alias("readable"),
-                    F.lit(None).cast("bigint").alias("rows"),
-                    F.lit(None).cast("string").alias("columns"),
-                )
-            )
+            checks.append((dataset_id, False, None, None))
     if strict and unreadable:
         raise FileNotFoundError("; ".join(unreadable))
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    return spark.createDataFrame(checks, schema)  # one row for each dataset of the registry

@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.failures import DatasetFailures
 from ledgerloom.plans.catalog import DATASETS
 from ledgerloom.plans.reports import sort_columns
 
@@ -30,9 +31,17 @@ def write_reports(
     parallel: int = 4,
 ) -> None:
     """Overwrite each dataset. CSV is written from the stored rows, not computed
-    again, and in the report's order across its part files."""
+    again, and in the report's order across its part files. The rest goes on past a
+    failure, which is raised at the end."""
+    failures: dict[str, Exception] = {}
 
     @inheritable_thread_target(spark)
+    def attempt(dataset_id: str) -> None:
+        try:
+            store(dataset_id)
+        except Exception as error:
+            failures[dataset_id] = error
+
     def store(dataset_id: str) -> None:
         reports[dataset_id].write.mode("overwrite").parquet(parquet_path(warehouse, dataset_id))
         if csv:
@@ -45,7 +54,9 @@ def write_reports(
             )
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(store, reports))
+        list(pool.map(attempt, reports))
+    if failures:
+        raise DatasetFailures(failures)
 
 
 def stored_datasets(ids: Iterable[str] | None) -> list[str]:

@@ -9,6 +9,8 @@ from ledgerloom import jobs, sources
 from ledgerloom.plans import DATASETS, build_reports
 from ledgerloom.plans.reports import sort_columns
 from ledgerloom.session import scratch_dir
+from ledgerloom.failures import DatasetFailures
+from ledgerloom.plans import shared
 from ledgerloom.sinks.publish import PublishError, publish, published_path, verify_outputs
 from ledgerloom.sinks.warehouse import csv_path, parquet_path, read_stored, write_reports
 from tests.data import ROWS, as_set, expected, frame, records
@@ -80,7 +82,8 @@ def users(spark, n):
 def test_sorted_from_several_part_files(spark, tmp_path):
     store(spark, tmp_path, users(spark, 1000).repartition(8, "user_id"))
     publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"])
-    header, *rows = read_file(f"{tmp_path}/out/user_analysis.csv")
+    (part,) = (tmp_path / "out" / "user_analysis.csv").glob("part-*.csv")
+    header, *rows = read_file(part)
     assert header == DATASETS["user_analysis"].report.columns
     keys = [(-int(r[2]), int(r[1])) for r in rows]
     assert len(keys) == 1000 and keys == sorted(keys)
@@ -88,9 +91,9 @@ def test_sorted_from_several_part_files(spark, tmp_path):
 
 
 def test_large_dataset_becomes_sorted_files(spark, tmp_path):
-    """More rows than one task may write: several files, nothing lost, in order."""
+    """More rows than a file should hold: several files, nothing lost, in order."""
     store(spark, tmp_path, users(spark, 1000))
-    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], max_rows=100)
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], file_rows=100)
     folder = tmp_path / "out" / "user_analysis.csv"
     parts = sorted(folder.glob("part-*.csv"))
     assert len(parts) > 5
@@ -101,10 +104,59 @@ def test_large_dataset_becomes_sorted_files(spark, tmp_path):
         keys += [(-int(r[2]), int(r[1])) for r in rows]
     assert len(keys) == 1000 and keys == sorted(keys)
     assert verify_outputs(spark, f"{tmp_path}/out", ["user_analysis"]).first().rows == 1000
-    # Smaller again: the folder gives way to a file.
+    # Smaller again: still a folder, so no reader breaks.
     store(spark, tmp_path, users(spark, 10))
-    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], max_rows=100)
-    assert len(read_file(folder)) == 11
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"], file_rows=100)
+    (part,) = folder.glob("part-*.csv")
+    assert len(read_file(part)) == 11
+
+
+@pytest.mark.parametrize("n", [10, 10_000])
+def test_layout_does_not_depend_on_size(spark, tmp_path, n):
+    days = spark.range(n).select(
+        F.date_add(F.lit(datetime.date(2000, 1, 1)), F.col("id").cast("int")).alias("ds"),
+        *(F.col("id").alias(c) for c in DATASETS["daily_summary"].report.columns[1:]),
+    )
+    store(spark, tmp_path, users(spark, n))
+    store(spark, tmp_path, days, "daily_summary")
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis", "daily_summary"], file_rows=100)
+    assert (tmp_path / "out" / "user_analysis.csv").is_dir()
+    assert (tmp_path / "out" / "daily_summary.csv").is_file()
+    checked = verify_outputs(spark, f"{tmp_path}/out", ["user_analysis", "daily_summary"], warehouse=f"{tmp_path}/warehouse")
+    assert {r.rows for r in checked.collect()} == {n}
+
+
+def test_a_file_cut_short_fails_verification(spark, tmp_path):
+    store(spark, tmp_path, users(spark, 50))
+    where = f"{tmp_path}/warehouse", f"{tmp_path}/out"
+    publish(spark, *where, ["user_analysis"])
+    verify_outputs(spark, where[1], ["user_analysis"], warehouse=where[0])
+    (part,) = (tmp_path / "out" / "user_analysis.csv").glob("part-*.csv")
+    text = part.read_bytes()
+    part.write_bytes(text[: len(text) // 2])
+    (tmp_path / "out" / "user_analysis.csv" / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(FileNotFoundError, match="50 stored"):
+        verify_outputs(spark, where[1], ["user_analysis"], warehouse=where[0])
+
+
+def test_a_failing_rollup_stops_only_its_datasets(spark, tmp_path, monkeypatch):
+    """Nothing older is published in place of the dataset that failed."""
+    where = f"{tmp_path}/warehouse", f"{tmp_path}/out"
+    names = ["daily_summary", "weekday_vs_weekend", "user_analysis"]
+    write_reports(spark, {"user_analysis": users(spark, 3)}, where[0], csv=False)
+    real = shared.roll_up
+
+    def roll_up(df, rollup, *rest):
+        if rollup.name == "by_user_day":
+            raise ValueError("no room")
+        return real(df, rollup, *rest)
+
+    monkeypatch.setattr(shared, "roll_up", roll_up)
+    with pytest.raises(DatasetFailures) as caught:
+        jobs.run_daily(spark, frame(spark), *where, names=names)
+    assert set(caught.value.failures) == {"daily_summary", "user_analysis"}
+    assert (tmp_path / "out" / "weekday_vs_weekend.csv").exists()
+    assert not (tmp_path / "out" / "user_analysis.csv").exists()
 
 
 def test_empty_report_keeps_its_header(spark, tmp_path):
@@ -131,7 +183,9 @@ def test_publishing_again_replaces_the_file(spark, tmp_path):
     for n in (5, 3):
         store(spark, tmp_path, users(spark, n))
         publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["user_analysis"])
-    assert len(read_file(tmp_path / "out" / "user_analysis.csv")) == 4
+    (part,) = (tmp_path / "out" / "user_analysis.csv").glob("part-*.csv")
+    assert len(read_file(part)) == 4
+    assert not (tmp_path / "out" / "_replaced" / "user_analysis.csv").exists()
 
 
 def test_verify_reports_what_is_missing(spark, tmp_path):
