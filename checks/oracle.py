@@ -202,6 +202,9 @@ def statements() -> dict[str, str]:
         "CAST(date_trunc('year', max(ds)) AS DATE) AS year_start FROM t",
         "high_value_limit": "SELECT min(amount_vnd) AS threshold, count(*) AS row_count "
         f"FROM t WHERE amount_vnd >= {P95}",
+        "high_value_approx_limit": "SELECT true AS within",
+        "moved_weekdays": bodies["weekday_vs_weekend"],
+        "shared_moved_weekdays": bodies["weekday_vs_weekend"],
         "row_count": "SELECT count(*) AS row_count FROM t",
         "published_files": published_body(),
     }
@@ -217,10 +220,22 @@ def statements() -> dict[str, str]:
 SELECT CASE WHEN reason = 'none' THEN 'clean' ELSE 'rejected' END AS outcome, reason,
   count(*) AS row_count
 FROM (SELECT CASE WHEN event_id % 11 = 0 THEN 'malformed_message'
-        WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN 'no_date'
+        WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 THEN 'no_date'
+        WHEN event_id % 29 = 0 THEN 'amount_out_of_range'
+        WHEN event_id % 31 = 0 THEN 'amount_not_a_number'
         WHEN rate IS NULL THEN 'no_rate' ELSE 'none' END AS reason
       FROM ({CONVERTED}))
 GROUP BY 1, 2""",
+        "csv_outcomes": """
+SELECT CASE WHEN ragged THEN 'rejected' ELSE 'clean' END AS outcome,
+  CASE WHEN ragged THEN 'malformed_message' ELSE 'none' END AS reason,
+  CASE WHEN NOT ragged THEN merchant_city END AS merchant_city,
+  CASE WHEN NOT ragged THEN merchant_state END AS merchant_state, count(*) AS row_count,
+  CAST(sum(CASE WHEN NOT ragged THEN amount_vnd END) AS BIGINT) AS total_vnd
+FROM (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS ragged FROM t) GROUP BY ALL""",
+        "replayed_stream": f"""
+SELECT user_id, strftime(ts, '%H:%M:00') AS time, CASE WHEN rate IS NOT NULL THEN ds END AS ds,
+  CASE WHEN rate IS NULL THEN 'rejected' ELSE 'clean' END AS outcome FROM ({CONVERTED})""",
     }
     return {key: over(LINEITEM, body) for key, body in lineitem.items()} | {
         key: over(EVENTS, body) for key, body in events.items()

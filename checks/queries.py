@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import jobs, sources
@@ -27,6 +27,7 @@ from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
 from ledgerloom.schema import RAW_FIELDS
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks.warehouse import csv_path, write_reports
+from ledgerloom.streaming.ingest import store_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +52,11 @@ def comparable(clean: DataFrame) -> DataFrame:
 def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
-        return report(df, dataset.report.name, dataset.grain, threshold=threshold)
+        limit = threshold
+        if dataset.report.high_value:
+            # over the amount alone, or each quantile scan would carry the report's joins
+            limit = high_value_threshold(transactions_from_lineitem(spark, sf_dir, ["amount_vnd"]), threshold)
+        return report(df, dataset.report.name, dataset.grain, threshold=limit)
 
     return run
 
@@ -88,6 +93,31 @@ def high_value_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def high_value_approx_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the approximate P95 has a rank within 0.01 of 0.95."""
+    df = transactions_from_lineitem(spark, sf_dir, ["amount_vnd"])
+    limit = high_value_threshold(df, "approx")
+    amount = F.col("amount_vnd")
+    return df.agg(
+        ((F.count_if(amount < limit) <= 0.96 * F.count(amount)) & (F.count_if(amount <= limit) >= 0.94 * F.count(amount))).alias("within")
+    )
+
+
+def moved_days(df: DataFrame) -> DataFrame:
+    """Purchases stored two days after their own day."""
+    return df.withColumn("ds", F.date_add("ds", 2))
+
+
+def moved_weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = REPORTS["weekday_vs_weekend"]
+    return report(moved_days(transactions_from_lineitem(spark, sf_dir, spec.reads)), spec.name)
+
+
+def shared_moved_weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = moved_days(transactions_from_lineitem(spark, sf_dir))
+    return build_reports(df, scratch_dir(spark, "rollups"), ["weekday_vs_weekend"])["weekday_vs_weekend"]
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.count_rows(transactions_from_lineitem(spark, sf_dir, ["ds"]))
 
@@ -134,7 +164,7 @@ def message_archive(spark: SparkSession, sf_dir: str, path: str) -> None:
     rows.select(
         F.to_json(F.struct(*RAW_FIELDS)).cast("binary").alias("value"),
         F.col("ts").alias("timestamp"),
-    ).repartition(4, "timestamp").write.parquet(path)
+    ).repartition("timestamp").write.parquet(path)
 
 
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,13 +194,17 @@ def fx_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many records are accepted, and refused for each reason, where some
-    messages are broken, some dates impossible and some incomplete."""
+    messages are broken, some dates impossible or incomplete, and some amounts too
+    large or no numbers."""
     rows = raw_from_events(spark, sf_dir)
     key = F.col("event_id")
     damaged = rows.withColumns(
         {
-            "Day": F.when(key % 13 == 0, "31").when(key % 17 != 0, F.col("Day")),
-            "Month": F.when(key % 13 == 0, "2").otherwise(F.col("Month")),
+            "Day": F.when(key % 13 == 0, "31").when(key % 19 == 0, "123").when(key % 17 != 0, F.col("Day")),
+            "Month": F.when(key % 13 == 0, "2").when(key % 23 == 0, "100").otherwise(F.col("Month")),
+            "Amount": F.when(key % 29 == 0, "$12345678901.00")
+            .when(key % 31 == 0, "$1,234.50")
+            .otherwise(F.col("Amount")),
         }
     )
     text = F.when(key % 11 == 0, "{bad").otherwise(F.to_json(F.struct(*RAW_FIELDS)))
@@ -181,6 +215,56 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("row_count"))
 
 
+def csv_text(rows: DataFrame, names: list[str], key: Column) -> DataFrame:
+    """Lines of CSV below a header of ``names``; every seventh has a field too many, every
+    eleventh is cut off after nine."""
+    fields = [F.concat(F.lit('"'), F.replace(F.col(f"`{n}`"), F.lit('"'), F.lit('""')), F.lit('"')) for n in names]
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", *fields, F.lit("more")))
+        .when(key % 11 == 0, F.concat_ws(",", *fields[:9]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    return rows.select(line.alias(",".join(names)))
+
+
+def csv_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sets of CSV files with other column orders, ragged rows in both: what is
+    accepted, by place, and what is refused."""
+    base = scratch_dir(spark, "csv")
+    rows, kept = raw_from_events(spark, sf_dir), None
+    for half, names in enumerate((list(RAW_FIELDS), list(reversed(RAW_FIELDS)))):
+        path = f"{base}/{half}"
+        lines = csv_text(rows.where(F.col("event_id") % 2 == half), names, F.col("event_id"))
+        # one column, its text left as it is
+        lines.write.options(header=True, sep="\u0001", quote="\u0000", escapeQuotes=False).csv(path)
+        records = jobs.ingest_batch(sources.read_transactions_csv(spark, path), constant_rate(spark))
+        kept = records if kept is None else kept.union(records)
+    clean = F.col("outcome") == "clean"
+    return kept.groupBy(
+        "outcome",
+        F.coalesce("reject_reason", F.lit("none")).alias("reason"),
+        *(F.when(clean, F.col(c)).alias(c) for c in ("merchant_city", "merchant_state")),
+    ).agg(F.count("*").alias("row_count"), F.sum(F.when(clean, F.col("amount_vnd"))).alias("total_vnd"))
+
+
+def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch stored before its rates were there, its commit lost, and run again with them:
+    every message once, over both outcomes."""
+    scratch = scratch_dir(spark, "replay")
+    message_archive(spark, sf_dir, f"{scratch}/messages")
+    messages = sources.read_messages(spark, "parquet", f"{scratch}/messages")
+    for known in (noon_rates(spark, sf_dir).limit(0), noon_rates(spark, sf_dir)):
+        store_batch(messages, known, f"{scratch}/lake", "query-0")
+    clean = sources.read_clean(spark, f"{scratch}/lake").select("user_id", "time", "ds", F.lit("clean").alias("outcome"))
+    refused = sources.read_rejected(spark, f"{scratch}/lake").select(
+        F.get_json_object("raw_value", "$.User").cast("int").alias("user_id"),
+        F.concat(F.get_json_object("raw_value", "$.Time"), F.lit(":00")).alias("time"),
+        F.lit(None).cast("date").alias("ds"),
+        F.lit("rejected").alias("outcome"),
+    )
+    return clean.union(refused)
+
+
 def registered() -> dict[str, Query]:
     queries: dict[str, Query] = {d.id: dataset_query(d) for d in DATASETS.values()}
     queries |= {f"shared_{key}": shared_query(DATASETS[key]) for key in SHARED}
@@ -200,4 +284,9 @@ def registered() -> dict[str, Query]:
         "ingest_stream": ingest_stream,
         "fx_conversion": fx_conversion,
         "ingest_outcomes": ingest_outcomes,
+        "high_value_approx_limit": high_value_approx_limit,
+        "moved_weekdays": moved_weekdays,
+        "shared_moved_weekdays": shared_moved_weekdays,
+        "csv_outcomes": csv_outcomes,
+        "replayed_stream": replayed_stream,
     }
