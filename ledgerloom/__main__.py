@@ -5,6 +5,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from ledgerloom import jobs, sources
+from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.plans import DATASETS
 from ledgerloom.session import get_session
 
@@ -89,7 +90,11 @@ def main(argv: list[str] | None = None) -> None:
         sources.write_messages(rows, args.format, args.path, options)
     elif args.command == "reports":
         jobs.store_reports(
-            spark, sources.read_clean(spark, args.lake), args.warehouse, threshold=args.threshold
+            spark,
+            sources.read_clean(spark, args.lake),
+            args.warehouse,
+            threshold=args.threshold,
+            bounds=LatestBounds.of_lake(spark, args.lake),
         )
     elif args.command == "daily":
         jobs.run_daily(
@@ -98,6 +103,7 @@ def main(argv: list[str] | None = None) -> None:
             args.warehouse,
             args.dest,
             threshold=args.threshold,
+            bounds=LatestBounds.of_lake(spark, args.lake),
         ).show(len(DATASETS), truncate=False)
     elif args.command == "publish":
         jobs.publish(spark, args.warehouse, args.dest)

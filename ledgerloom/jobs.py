@@ -2,10 +2,13 @@
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.failures import DatasetFailures
 from ledgerloom.operators.clean import clean_raw, parse_messages, raw_records
+from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import paths
@@ -30,9 +33,16 @@ __all__ = [
 def ingest_batch(rows: DataFrame, rates: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """B2: the cleaning of the stream on a static frame of raw rows.
 
-    ``ingest_time`` decides the rate; the time of the run unless given.
+    ``ingest_time`` decides the rate: a column of the rows or one instant; the time of the
+    run unless given. One instant is fixed here, and its rate looked up once.
     """
-    return clean_raw(raw_records(rows, ingest_time), rates)
+    time = F.current_timestamp() if ingest_time is None else ingest_time
+    try:
+        micros = rows.sparkSession.range(1).select(F.unix_micros(time)).first()[0]
+    except AnalysisException:  # a column of the rows
+        return clean_raw(raw_records(rows, time), rates)
+    instant = F.timestamp_micros(F.lit(micros))
+    return clean_raw(raw_records(rows, instant), rates, instant)
 
 
 def ingest_messages(messages: DataFrame, rates: DataFrame) -> DataFrame:
@@ -52,15 +62,17 @@ def store_reports(
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
     failures: dict[str, Exception] | None = None,
+    bounds: LatestBounds | None = None,
 ) -> list[str]:
     """Build the reports and store them; gives the ids of the datasets stored in this run.
 
     A failure does not stop the rest. It is noted in ``failures``, or raised at the end.
+    ``bounds`` are looked up in the table unless given.
     """
     scratch = scratch_dir(spark, "rollups")
     noted: dict[str, Exception] = {}
     try:
-        reports = build_reports(transactions, scratch, names, threshold=threshold, failures=noted)
+        reports = build_reports(transactions, scratch, names, threshold=threshold, failures=noted, bounds=bounds)
         try:
             write_reports(spark, reports, warehouse)
         except DatasetFailures as error:
@@ -80,6 +92,7 @@ def run_daily(
     dest: str,
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
+    bounds: LatestBounds | None = None,
 ) -> DataFrame:
     """Build, store, publish and verify, in that order.
 
@@ -87,7 +100,7 @@ def run_daily(
     published in its place; the others go on, and the job fails at the end.
     """
     failures: dict[str, Exception] = {}
-    stored = store_reports(spark, transactions, warehouse, names, threshold, failures)
+    stored = store_reports(spark, transactions, warehouse, names, threshold, failures, bounds)
     try:
         publish(spark, warehouse, dest, stored)
     except DatasetFailures as error:

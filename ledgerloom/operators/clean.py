@@ -1,6 +1,6 @@
 """Raw transactions to typed, converted records (C1-C10) with refusals kept."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,9 +100,10 @@ def refuse(converted: DataFrame) -> DataFrame:
     )
 
 
-def clean_raw(raw: DataFrame, rates: DataFrame) -> DataFrame:
-    """All of the cleaning: raw records to records with an outcome."""
-    return refuse(with_amount_vnd(type_records(raw), rates, "ingest_time"))
+def clean_raw(raw: DataFrame, rates: DataFrame, time: Column | None = None) -> DataFrame:
+    """All of the cleaning: raw records to records with an outcome. ``time`` is the ingest time
+    where all records have the same."""
+    return refuse(with_amount_vnd(type_records(raw), rates, "ingest_time", time))
 
 
 def accepted(records: DataFrame) -> DataFrame:

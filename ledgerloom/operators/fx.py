@@ -19,8 +19,6 @@ CURRENCY = "USD"
 MAX_BUCKETS = 50_000
 #: Above this many rates they are shuffled instead of broadcast.
 MAX_BROADCAST_RATES = 100_000
-#: Copies of the rates in the shuffled form, so that a busy bucket is spread out.
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -110,16 +108,25 @@ def with_rate(df: DataFrame, fx: DataFrame, time_column: str) -> DataFrame:
         # At most MAX_BROADCAST_RATES + MAX_BUCKETS narrow rows.
         lookup = F.broadcast(lookup)
     else:
-        # The input split a record came from spreads even equal records, and is
-        # the same when a task is run again.
-        records = records.withColumn("salt", F.spark_partition_id() % SALTS)
-        lookup = lookup.withColumn("rate_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # A busy bucket is spread over the whole width of a shuffle. The input split a
+        # record came from spreads even equal records, and is the same when a task is
+        # run again.
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        records = records.withColumn("salt", F.spark_partition_id() % salts)
+        lookup = lookup.withColumn("rate_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         valid &= F.col("salt") == F.col("rate_salt")
     return records.join(lookup, valid, "left").select(*df.columns, "vnd_per_usd")
 
 
-def with_amount_vnd(df: DataFrame, fx: DataFrame, time_column: str) -> DataFrame:
-    """``df`` with the rate and the converted amount."""
-    return with_rate(df, fx, time_column).withColumn(
-        "amount_vnd", to_vnd(F.col("amount_usd"), F.col("vnd_per_usd"))
-    )
+def with_one_rate(df: DataFrame, fx: DataFrame, time: Column) -> DataFrame:
+    """``df`` with the rate in force at one instant: looked up once, nothing is joined."""
+    at_or_before = distinct_rates(fx).where(F.col("effective_from") <= time)
+    rate = at_or_before.agg(F.max_by("vnd_per_usd", "effective_from")).first()[0]
+    return df.withColumn("vnd_per_usd", F.lit(rate).cast("decimal(18,4)"))
+
+
+def with_amount_vnd(df: DataFrame, fx: DataFrame, time_column: str, time: Column | None = None) -> DataFrame:
+    """``df`` with the rate and the converted amount. ``time`` is given where it is one and the
+    same for all rows."""
+    rated = with_rate(df, fx, time_column) if time is None else with_one_rate(df, fx, time)
+    return rated.withColumn("amount_vnd", to_vnd(F.col("amount_usd"), F.col("vnd_per_usd")))

@@ -3,17 +3,21 @@
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sinks import paths
+
 GRAINS = ("day", "month", "year")
+#: Fixed value: how a partition of NULL is named.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
 def latest_bounds_frame(df: DataFrame) -> DataFrame:
     """One row: the latest ``ds`` and the first day of its month and year.
 
-    Only the partition column is read, so on a stored table this costs file
-    footers, not data.
+    Only the partition column is read, so on a stored table this opens every file for
+    its row count. ``LatestBounds.of_lake`` opens none.
     """
     return df.agg(F.max("ds").cast("date").alias("latest_day")).select(
         "latest_day",
@@ -36,6 +40,18 @@ class LatestBounds:
         (row,) = latest_bounds_frame(df).collect()
         return cls(*row)
 
+    @classmethod
+    def of_lake(cls, spark: SparkSession, lake: str) -> "LatestBounds":
+        """From the names of the partition folders, newest first until one has a file."""
+        folders = paths.matching(spark, f"{lake}/outcome=clean/ds=*")
+        days = sorted({f.rsplit("ds=", 1)[1] for f in folders} - {UNDATED}, reverse=True)
+        found = (d for d in days if paths.matching(spark, f"{lake}/outcome=clean/ds={d}/*/*.parquet"))
+        day = next(found, None)
+        if day is None:
+            return cls(None, None, None)
+        day = date.fromisoformat(day)
+        return cls(day, day.replace(day=1), day.replace(month=1, day=1))
+
     def contains(self, grain: str) -> Column:
         """Range filter on ``ds``; literal bounds, so partitions are pruned."""
         start = getattr(self, grain)

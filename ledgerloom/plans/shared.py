@@ -188,6 +188,7 @@ def build_reports(
     threshold: int | str | None = "exact",
     parallel: int = 4,
     failures: dict[str, Exception] | None = None,
+    bounds: LatestBounds | None = None,
 ) -> dict[str, DataFrame]:
     """The chosen datasets by id, each reading rollups stored below ``scratch``.
 
@@ -199,7 +200,8 @@ def build_reports(
     chosen = select_datasets(names, grains)
     wanted_grains = tuple(g for g in GRAINS if any(d.grain == g for d in chosen))
     needed = list(dict.fromkeys(s for d in chosen for s in SOURCES[d.report.name]))
-    bounds = LatestBounds.of(df) if wanted_grains else None
+    if wanted_grains and bounds is None:
+        bounds = LatestBounds.of(df)
 
     failed: dict[str, Exception] = {}
 

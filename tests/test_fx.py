@@ -51,7 +51,6 @@ def times_around(rates, seed):
 @pytest.mark.parametrize("n, buckets", [(1, 50_000), (2, 50_000), (60, 50_000), (60, 3), (60, 1)])
 def test_rate_as_of(spark, monkeypatch, shuffled, n, buckets):
     monkeypatch.setattr(fx, "MAX_BUCKETS", buckets)
-    monkeypatch.setattr(fx, "SALTS", 4)
     if shuffled:
         monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 0)
     rates = irregular(n, n)
@@ -84,6 +83,16 @@ def test_large_rate_tables_are_not_broadcast(spark, monkeypatch):
     assert "strategy=broadcast" not in large
 
 
+def test_one_instant_needs_no_join(spark):
+    rates = irregular(8, 30)
+    records = spark.createDataFrame([(1,), (2,)], "i int")
+    for time in times_around(rates, 8)[:40]:
+        got = fx.with_one_rate(records, rates_frame(spark, rates), F.lit(time))
+        assert {r.vnd_per_usd for r in got.collect()} == {brute(rates, time)}
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert fx.with_one_rate(records, rates_frame(spark, []), F.lit(START)).first().vnd_per_usd is None
+
+
 def test_no_rates_and_other_currencies(spark):
     records = spark.createDataFrame([(1, START)], "i int, at timestamp")
     other = spark.createDataFrame(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import jobs, sources
 from ledgerloom.operators.clean import accepted, clean_raw, parse_messages, rejected
+from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.schema import CLEAN, FX, MESSAGE, RAW_FIELDS, REJECTED
 from tests.data import as_set
 
@@ -183,6 +184,28 @@ def test_ragged_csv_rows_are_refused(spark, tmp_path):
     assert accepted(again).count() == 2 and rejected(again).count() == 2
 
 
+def test_batch_with_one_ingest_time_joins_nothing(spark):
+    rows = spark.createDataFrame([tuple(PLAIN[n] for n in RAW_FIELDS)] * 2, ", ".join(f"`{n}` string" for n in RAW_FIELDS))
+    for time in (None, F.lit(START)):
+        records = jobs.ingest_batch(rows, rates(spark), time)
+        assert "Join" not in records._jdf.queryExecution().optimizedPlan().toString()
+        assert {r.amount_vnd for r in accepted(records).collect()} == {3403204}
+    timed = rows.withColumn("at", F.lit(START))
+    records = jobs.ingest_batch(timed, rates(spark), F.col("at"))
+    assert {r.amount_vnd for r in accepted(records).collect()} == {3403204}
+
+
+def test_latest_day_of_a_lake(spark, tmp_path):
+    """From folder names alone; a folder without files does not count."""
+    lake = str(tmp_path / "lake")
+    assert LatestBounds.of_lake(spark, lake) == LatestBounds(None, None, None)
+    jobs.store_batch_records(clean(spark, [raw(Day=str(d)) for d in (3, 17, 9)]), lake, "one")
+    (tmp_path / "lake" / "outcome=clean" / "ds=2002-09-20" / "batch=x").mkdir(parents=True)
+    bounds = LatestBounds.of_lake(spark, lake)
+    assert bounds == LatestBounds.of(sources.read_clean(spark, lake))
+    assert bounds == LatestBounds(date(2002, 9, 17), date(2002, 9, 1), date(2002, 1, 1))
+
+
 def test_lake_batch_replaces_itself(spark, tmp_path):
     lake = str(tmp_path / "lake")
     assert sources.read_clean(spark, lake).count() == 0
