@@ -233,6 +233,7 @@ SELECT CASE WHEN ragged THEN 'rejected' ELSE 'clean' END AS outcome,
   CASE WHEN NOT ragged THEN merchant_state END AS merchant_state, count(*) AS row_count,
   CAST(sum(CASE WHEN NOT ragged THEN amount_vnd END) AS BIGINT) AS total_vnd
 FROM (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS ragged FROM t) GROUP BY ALL""",
+        "incremental_daily_summary": bodies["daily_summary"],
         "replayed_stream": f"""
 SELECT user_id, strftime(ts, '%H:%M:00') AS time, CASE WHEN rate IS NOT NULL THEN ds END AS ds,
   CASE WHEN rate IS NULL THEN 'rejected' ELSE 'clean' END AS outcome FROM ({CONVERTED})""",

@@ -23,6 +23,7 @@ from ledgerloom.operators.clean import (
 from ledgerloom.operators.fx import with_amount_vnd
 from ledgerloom.operators.grains import GRAINS, latest_bounds_frame
 from ledgerloom.plans import DATASETS, REPORTS, Dataset, build_reports, report
+from ledgerloom.plans.history import KEPT, kept_rollup
 from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
 from ledgerloom.schema import RAW_FIELDS
 from ledgerloom.session import scratch_dir
@@ -215,6 +216,22 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("row_count"))
 
 
+def incremental_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary from kept rollups, after a first batch, and a second one that adds
+    to some days of the first."""
+    scratch = scratch_dir(spark, "history")
+    lake, store = f"{scratch}/lake", f"{scratch}/history"
+    rows = raw_from_events(spark, sf_dir)
+    later = (F.dayofmonth("ts") > 20) | ((F.dayofmonth("ts") == 5) & (F.col("event_id") % 3 == 0))
+    for batch, part in (("first", rows.where(~later)), ("second", rows.where(later))):
+        records = jobs.ingest_batch(part.select(*RAW_FIELDS), constant_rate(spark))
+        jobs.store_batch_records(records, lake, batch)
+        jobs.update_history(spark, lake, store)
+    kept = {name: kept_rollup(spark, store, name) for name in KEPT}
+    clean = sources.read_clean(spark, lake)
+    return build_reports(clean, f"{scratch}/rollups", ["daily_summary"], kept=kept)["daily_summary"]
+
+
 def csv_text(rows: DataFrame, names: list[str], key: Column) -> DataFrame:
     """Lines of CSV below a header of ``names``; every seventh has a field too many, every
     eleventh is cut off after nine."""
@@ -289,4 +306,5 @@ def registered() -> dict[str, Query]:
         "shared_moved_weekdays": shared_moved_weekdays,
         "csv_outcomes": csv_outcomes,
         "replayed_stream": replayed_stream,
+        "incremental_daily_summary": incremental_daily_summary,
     }

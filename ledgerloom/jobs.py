@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from ledgerloom.failures import DatasetFailures
 from ledgerloom.operators.clean import clean_raw, parse_messages, raw_records
 from ledgerloom.operators.grains import LatestBounds
+from ledgerloom.plans.history import KEPT, kept_rollup, update_history
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import paths
 from ledgerloom.sinks.lake import replace_batch
 from ledgerloom.sinks.publish import publish, verify_outputs
 from ledgerloom.sinks.warehouse import write_reports
+from ledgerloom.sources.files import read_clean
 from ledgerloom.streaming.ingest import ingest_stream
 
 __all__ = [
@@ -24,8 +26,10 @@ __all__ = [
     "ingest_stream",
     "publish",
     "run_daily",
+    "run_daily_lake",
     "store_batch_records",
     "store_reports",
+    "update_history",
     "verify_outputs",
 ]
 
@@ -63,16 +67,17 @@ def store_reports(
     threshold: int | str | None = "exact",
     failures: dict[str, Exception] | None = None,
     bounds: LatestBounds | None = None,
+    kept: dict[str, DataFrame] | None = None,
 ) -> list[str]:
     """Build the reports and store them; gives the ids of the datasets stored in this run.
 
     A failure does not stop the rest. It is noted in ``failures``, or raised at the end.
-    ``bounds`` are looked up in the table unless given.
+    ``bounds`` are looked up in the table unless given; ``kept`` are rollups that are there.
     """
     scratch = scratch_dir(spark, "rollups")
     noted: dict[str, Exception] = {}
     try:
-        reports = build_reports(transactions, scratch, names, threshold=threshold, failures=noted, bounds=bounds)
+        reports = build_reports(transactions, scratch, names, threshold=threshold, failures=noted, bounds=bounds, kept=kept)
         try:
             write_reports(spark, reports, warehouse)
         except DatasetFailures as error:
@@ -93,6 +98,7 @@ def run_daily(
     names: Iterable[str] | None = None,
     threshold: int | str | None = "exact",
     bounds: LatestBounds | None = None,
+    kept: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Build, store, publish and verify, in that order.
 
@@ -100,7 +106,7 @@ def run_daily(
     published in its place; the others go on, and the job fails at the end.
     """
     failures: dict[str, Exception] = {}
-    stored = store_reports(spark, transactions, warehouse, names, threshold, failures, bounds)
+    stored = store_reports(spark, transactions, warehouse, names, threshold, failures, bounds, kept)
     try:
         publish(spark, warehouse, dest, stored)
     except DatasetFailures as error:
@@ -110,3 +116,26 @@ def run_daily(
     if failures:
         raise DatasetFailures(failures)
     return checked
+
+
+def run_daily_lake(
+    spark: SparkSession,
+    lake: str,
+    history: str,
+    warehouse: str,
+    dest: str,
+    threshold: int | str | None = "exact",
+) -> DataFrame:
+    """B6 on a lake, with the rollups over all of history kept below ``history``: only days
+    whose files changed since the last run are read for them."""
+    update_history(spark, lake, history)
+    kept = {name: kept_rollup(spark, history, name) for name in KEPT}
+    return run_daily(
+        spark,
+        read_clean(spark, lake),
+        warehouse,
+        dest,
+        threshold=threshold,
+        bounds=LatestBounds.of_lake(spark, lake),
+        kept=kept,
+    )

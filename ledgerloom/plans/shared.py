@@ -189,14 +189,16 @@ def build_reports(
     parallel: int = 4,
     failures: dict[str, Exception] | None = None,
     bounds: LatestBounds | None = None,
+    kept: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The chosen datasets by id, each reading rollups stored below ``scratch``.
 
     The rollups are written here, ``parallel`` at a time; the returned frames are
     lazy and need ``scratch`` until they have been written. With ``failures``, a rollup
-    that fails is no error: its datasets are left out and noted there.
+    that fails is no error: its datasets are left out and noted there. ``kept`` are rollups
+    that need not be computed.
     """
-    spark = df.sparkSession
+    spark, kept = df.sparkSession, kept or {}
     chosen = select_datasets(names, grains)
     wanted_grains = tuple(g for g in GRAINS if any(d.grain == g for d in chosen))
     needed = list(dict.fromkeys(s for d in chosen for s in SOURCES[d.report.name]))
@@ -225,8 +227,8 @@ def build_reports(
         result.write.mode("overwrite").parquet(f"{scratch}/{name}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(attempt, needed))
-    rollups = {n: spark.read.parquet(f"{scratch}/{n}") for n in needed if n not in failed}
+        list(pool.map(attempt, [n for n in needed if n not in kept]))
+    rollups = {n: kept[n] if n in kept else spark.read.parquet(f"{scratch}/{n}") for n in needed if n not in failed}
     built = {}
     for d in chosen:
         missing = [s for s in SOURCES[d.report.name] if s in failed]
