@@ -29,8 +29,8 @@ FROM texts LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 #: The measures, in thousandths, and what is tolerated of each.
-MEASURES = """(VALUES ('symbols', symbols, 0, 100), ('dup_lines', dup_lines, 0, 300),
-  ('repeats', repeats, 0, 350), ('word_length', word_length, 3000, 10000)) AS m(measure, value, least, most)"""
+MEASURES = """(VALUES ('symbols', symbols, 0, 100), ('dup_lines', dup_lines, 0, 500),
+  ('repeats', repeats, 0, 450), ('word_length', word_length, 3000, 10000)) AS m(measure, value, least, most)"""
 
 
 def limits(groups: str) -> str:
