@@ -202,6 +202,8 @@ def statements() -> dict[str, str]:
         "CAST(date_trunc('year', max(ds)) AS DATE) AS year_start FROM t",
         "high_value_limit": "SELECT min(amount_vnd) AS threshold, count(*) AS row_count "
         f"FROM t WHERE amount_vnd >= {P95}",
+        "sorted_report": "SELECT *, row_number() OVER (ORDER BY total_amount_vnd DESC, merchant_city, "
+        f"merchant_state) AS place FROM ({bodies['city_analysis_year']})",
         "high_value_approx_limit": "SELECT true AS within",
         "moved_weekdays": bodies["weekday_vs_weekend"],
         "shared_moved_weekdays": bodies["weekday_vs_weekend"],
@@ -233,6 +235,10 @@ SELECT CASE WHEN ragged THEN 'rejected' ELSE 'clean' END AS outcome,
   CASE WHEN NOT ragged THEN merchant_state END AS merchant_state, count(*) AS row_count,
   CAST(sum(CASE WHEN NOT ragged THEN amount_vnd END) AS BIGINT) AS total_vnd
 FROM (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS ragged FROM t) GROUP BY ALL""",
+        "sent_messages": same_rate,
+        "rates_from_json": "SELECT user_id, strftime(ts, '%H:%M:00') AS time, ds, "
+        "CAST(25000 + day(ts) * 10 AS DOUBLE) AS vnd_per_usd, "
+        "CAST(round(amount_usd * CAST(25000 + day(ts) * 10 AS DECIMAL(18,4))) AS BIGINT) AS amount_vnd FROM t",
         "incremental_daily_summary": bodies["daily_summary"],
         "replayed_stream": f"""
 SELECT user_id, strftime(ts, '%H:%M:00') AS time, CASE WHEN rate IS NOT NULL THEN ds END AS ds,

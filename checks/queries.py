@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import jobs, sources
@@ -232,6 +232,37 @@ def incremental_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_reports(clean, f"{scratch}/rollups", ["daily_summary"], kept=kept)["daily_summary"]
 
 
+def sent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows sent as messages, taken in and cleaned."""
+    path = scratch_dir(spark, "topic")
+    sources.write_messages(raw_from_events(spark, sf_dir).select(*RAW_FIELDS), "text", path)
+    messages = sources.read_messages(spark, "text", path)
+    return comparable(accepted(jobs.ingest_messages(messages, constant_rate(spark))))
+
+
+def rates_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversion with rates read from stored JSON documents, one a day."""
+    path = scratch_dir(spark, "rates")
+    rows = raw_from_events(spark, sf_dir)
+    days = rows.select(F.col("ts").cast("date").alias("date")).distinct()
+    rate = (25_000 + F.dayofmonth("date") * 10).cast("double")
+    days.select("date", F.struct(rate.alias("vnd"), F.lit(0.9).alias("eur")).alias("usd")).write.json(path)
+    typed = type_records(raw_records(rows, F.col("ts")))
+    return with_amount_vnd(typed, sources.read_rates_json(spark, path), "ingest_time").select(
+        "user_id", "time", "ds", F.col("vnd_per_usd").cast("double"), "amount_vnd"
+    )
+
+
+def sorted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored report in its own order, with the place of each row."""
+    dataset = DATASETS[STORED_CSV]
+    df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
+    ordered = report(df, dataset.report.name, dataset.grain, sort=True)
+    # the rows of one report by place: as few as there are cities
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.select("*", place.cast("long").alias("place"))
+
+
 def csv_text(rows: DataFrame, names: list[str], key: Column) -> DataFrame:
     """Lines of CSV below a header of ``names``; every seventh has a field too many, every
     eleventh is cut off after nine."""
@@ -306,5 +337,8 @@ def registered() -> dict[str, Query]:
         "shared_moved_weekdays": shared_moved_weekdays,
         "csv_outcomes": csv_outcomes,
         "replayed_stream": replayed_stream,
+        "sent_messages": sent_messages,
+        "rates_from_json": rates_from_json,
+        "sorted_report": sorted_report,
         "incremental_daily_summary": incremental_daily_summary,
     }
