@@ -29,4 +29,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="ledgerloom-")
+        spark.conf.set("spark.checkpoint.dir", base)  # one folder for the session
     return f"{base.rstrip('/')}/ledgerloom/{purpose}-{uuid.uuid4().hex[:12]}"
