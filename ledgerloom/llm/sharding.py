@@ -18,8 +18,9 @@ table gives an empty one.
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import runs
 from .names import fresh
-from .runs import cell_bits, numbered_copies, row_hash, row_key, same
+from .runs import cell_bits, numbered_copies, row_hash, row_key
 from .scratch import stored
 
 SHARDS = 24
@@ -92,11 +93,18 @@ def shard_plan(
 ) -> DataFrame:
     """One row per document: id, ``row_hash``, ``size`` in bytes, ``text_crc32``,
     ``shard`` and ``slot``, its number in the shard from 0 without gaps."""
+    return place_rows(docs, id_column, text_column, shards, nodes, slack)[0].drop("n")
+
+
+def place_rows(
+    docs: DataFrame, id_column: str, text_column: str, shards: int, nodes: int, slack: float
+) -> tuple[DataFrame, int]:
+    """The plan, with ``n`` rows equal to each in all columns, and the largest ``n``."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_column), F.lit(""))
     points = ring(spark, shards, nodes)
     slices, bits = arc_table(spark, points)
-    runs = (
+    counted = (
         docs.select(
             F.col(id_column).alias("id"),
             (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
@@ -109,7 +117,7 @@ def shard_plan(
     )
     position = F.col("before") + F.size(F.filter("points", lambda p: p < F.col("at")))
     placed = stored(
-        runs.withColumn("slice", F.shiftrightunsigned("at", 64 - bits))
+        counted.withColumn("slice", F.shiftrightunsigned("at", 64 - bits))
         .join(F.broadcast(slices), "slice")  # bounded by the ring
         .withColumn("arc", (position % len(points)).cast("int"))
         .withColumn("cell", F.shiftrightunsigned("at", 64 - cell_bits(docs)))
@@ -131,7 +139,7 @@ def shard_plan(
     ranked = placed.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).join(offsets, ["arc", "cell"])
     largest = max((row.largest for row in totals), default=0)
     rank = F.col("offset") + F.col("ahead") + F.col("k")
-    return (
+    plan = (
         numbered_copies(ranked, "n", "k", largest)
         .withColumn("rank", rank)
         # at most one stretch for each point and one for each shard
@@ -143,16 +151,33 @@ def shard_plan(
             "text_crc32",
             "shard",
             (F.col("slot") + F.col("rank") - F.col("first")).alias("slot"),
+            "n",
         )
     )
+    return plan, largest
 
 
-def shard(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+def shard(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shards: int = SHARDS,
+    nodes: int = NODES,
+    slack: float = SLACK,
+) -> DataFrame:
     """``docs`` with the columns ``shard`` and ``slot``, which replace columns of that name."""
-    key = fresh(docs, "_key")
-    plan = shard_plan(docs, id_column, text_column, **options).select(
-        F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias(key), "shard", "slot"
-    )
+    key, part = fresh(docs, "_key"), fresh(docs, "_part")
+    plan, largest = place_rows(docs, id_column, text_column, shards, nodes, slack)
+    named = F.struct(F.col(id_column).alias("id"), F.col("row_hash").alias("hash")).alias(key)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
-    rows = docs.withColumn(key, row_key(docs, id_column)).select(*kept, key).dropDuplicates([key])
-    return rows.join(plan, key).select(*kept, "shard", "slot")
+    rows = docs.withColumn(key, row_key(docs, id_column)).select(*kept, key)
+    if largest <= runs.STEP:
+        placed = rows.dropDuplicates([key]).join(plan.select(named, "shard", "slot"), key)
+        return placed.select(*kept, "shard", "slot")
+    # a row with very many equals is written by several tasks, each with a part of its slots
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plan = plan.select(named, "shard", "slot", F.when(F.col("n") > runs.STEP, F.col("slot") % parts).otherwise(0).alias(part))
+    one = rows.groupBy(key).agg(F.first(F.struct(*kept)).alias("row"), F.count("*").alias("n"))
+    last = F.when(F.col("n") > runs.STEP, F.lit(parts - 1)).otherwise(0).cast("long")
+    one = one.select(key, "row", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(part))
+    return one.join(plan, [key, part]).select("row.*", "shard", "slot")

@@ -178,6 +178,19 @@ def test_own_arc_first(spark):
             assert rows[row.doc_id] == owner
 
 
+@pytest.mark.parametrize("step", [2, 10_000])
+def test_very_many_equal_rows(spark, monkeypatch, step):
+    monkeypatch.setattr(runs, "STEP", step)
+    docs = strange(spark).union(strange(spark).where("doc_id in (1, 4) or doc_id is null")).union(strange(spark).limit(0))
+    docs = docs.union(strange(spark).where("doc_id = 1")).union(strange(spark).where("doc_id = 8"))
+    placed = shard(docs, shards=3)
+    rows = placed.collect()
+    check_shards(rows, 3)
+    assert plain(placed.drop("shard", "slot").collect()) == plain(docs.drop("shard", "slot").collect())
+    mixed = mix(docs)
+    assert mixed.count() == sum(r.copies for r in mix_plan(docs).collect())
+
+
 def test_strange_shards(spark):
     docs = strange(spark)
     rows = shard_plan(docs, shards=5).collect()
