@@ -85,7 +85,7 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
 
     def name_of(turn: Column) -> Column:
-        return F.concat_ws("-", "conv_id", turn)
+        return F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
 
     words, kind = F.split("text", " "), F.col("turn") % 3
     arguments = (
@@ -102,9 +102,11 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         name_of(F.col("turn") - 2).alias("after"),
     )
     results = turns.where("role = 'user' and turn > 0").select(
-        "turn", name_of(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
+        "conv_id", "turn", name_of(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
     )
-    linked = link_tool_calls(calls, results, SCHEMAS)
+    linked = link_tool_calls(calls, results, SCHEMAS).drop("n_results")
+    # the statement gives a result without a call no conversation; its identifier names it
+    linked = linked.withColumn("conv_id", F.when(F.col("status") != "no_call", F.col("conv_id")))
     return linked.withColumn("problems", F.array_join("problems", "; "))
 
 

@@ -7,9 +7,15 @@ found by doubling: each round a call jumps over twice as many predecessors, so a
 calls takes log2(n) joins. Arguments are validated against the schema of the tool, and the
 linked call is written as canonical JSON: keys in order, no spaces, text as it is.
 
+An identifier holds within its conversation: calls and results are joined by ``conv_id`` and
+``call_id``, a null conversation being one of its own.
+
 Defined results: of several calls (or results) with one identifier the first by turn and content
-counts, the others are left out and counted in ``n_same``; a null identifier links nothing, and
-such rows are left out; a call without result, an unknown tool, broken JSON and arguments against the
+counts, the others come as ``duplicate``; a null identifier links nothing, and
+such rows come as ``no_id``; rows equal in all columns are one row, their number is ``n_same`` of a call
+and ``n_results`` of a result. Results without ``conv_id`` can only be joined by ``call_id`` over the whole
+table: then the other rows of an identifier are left out and counted, and rows without one are left
+out. In both forms a call without result, an unknown tool, broken JSON and arguments against the
 schema are kept with their ``status``; results without a call come as ``no_call``; ``after`` that
 names no call counts as none; calls on a cycle or after one have no depth and status ``cycle``.
 """
@@ -24,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from .runs import same
 from .scratch import stored
 
 CHECKED = "problems array<string>, record string"
@@ -86,16 +93,22 @@ def formatted(call_id, name, arguments, result, schemas: dict) -> dict:
     return {"problems": problems, "record": record}
 
 
-def checked(call_id: Column, name: Column, arguments: Column, result: Column, schemas: dict) -> Column:
+def returned(call_id, result) -> dict:
+    """The record of a result that no call takes."""
+    return {"problems": [], "record": canonical({"id": call_id, "result": result})}
+
+
+def checked(is_call: Column, call_id: Column, name: Column, arguments: Column, result: Column, schemas: dict) -> Column:
     kind = to_arrow_type(StructType.fromDDL(CHECKED))
 
     @F.arrow_udf(CHECKED)
-    def compute(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def compute(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
             rows = zip(*(column.to_pylist() for column in batch))
-            yield pa.array([formatted(*row, schemas) for row in rows], kind)
+            facts = [formatted(i, n, a, r, schemas) if call else returned(i, r) for call, i, n, a, r in rows]
+            yield pa.array(facts, kind)
 
-    return compute(call_id, name, arguments, result)
+    return compute(is_call, call_id, name, arguments, result)
 
 
 def first_by_id(rows: DataFrame, *columns: str) -> DataFrame:
@@ -105,6 +118,21 @@ def first_by_id(rows: DataFrame, *columns: str) -> DataFrame:
     return grouped.select("call_id", "least.*", "n_same")
 
 
+def split_by_id(rows: DataFrame, purpose: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Equal rows counted in ``n_same``; then one row for each conversation and identifier, the least
+    by turn and content, and all others with their ``status``."""
+    content = F.struct("turn", *columns)
+    rows = stored(rows.groupBy("conv_id", "call_id", "turn", *columns).agg(F.count("*").alias("n_same")), purpose)
+    named = rows.where("call_id is not null")
+    least = F.min(F.struct(content.alias("content"), "n_same")).alias("least")
+    ids = stored(named.groupBy("conv_id", "call_id").agg(least, F.count("*").alias("kinds")), purpose)
+    first = ids.select("conv_id", "call_id", "least.content.*", "least.n_same")
+    several = ids.where("kinds > 1").select("conv_id", "call_id", F.col("least.content").alias("least"))
+    further = same(named, several, "conv_id", "call_id").where(~content.eqNullSafe(F.col("least"))).drop("least")
+    unnamed = rows.where("call_id is null").withColumn("status", F.lit("no_id"))
+    return first, further.withColumn("status", F.lit("duplicate")).unionByName(unnamed)
+
+
 def call_depths(calls: DataFrame) -> DataFrame:
     """``(call_id, depth)`` of calls with columns ``call_id`` (unique) and ``after``; null on and behind a cycle."""
     ids = calls.select(F.col("call_id").alias("after"), F.lit(True).alias("there"))
@@ -134,31 +162,69 @@ def call_depths(calls: DataFrame) -> DataFrame:
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     """One row for each call, and for each result without one.
 
-    ``calls``: conv_id, turn, call_id, name, arguments (JSON), after. ``results``: turn, call_id, content.
-    ``schemas``: a JSON Schema by tool name. Result: conv_id, call_id, name, turn, depth, status,
-    problems, n_same, record.
+    ``calls``: conv_id, turn, call_id, name, arguments (JSON), after. ``results``: conv_id, turn, call_id,
+    content; without conv_id they are joined by call_id alone. ``schemas``: a JSON Schema by tool name.
+    Result: conv_id, call_id, name, turn, depth, status, problems, n_same, n_results, record.
     """
-    own = stored(first_by_id(calls, "conv_id", "name", "arguments", "after"), "calls")
-    given = stored(first_by_id(results, "content"), "results").withColumnsRenamed({"turn": "result_turn", "n_same": "n_results"})
-    depths = stored(call_depths(own), "depths")
-    linked = own.withColumn("is_call", F.lit(True)).join(given, "call_id", "full").join(depths, "call_id", "left")
-    facts = checked(F.col("call_id"), F.col("name"), F.col("arguments"), F.col("content"), schemas)
-    linked = linked.withColumn("c", F.when(F.col("is_call"), facts))
+    by_conversation = "conv_id" in results.columns
+    if by_conversation:
+        own, more_calls = split_by_id(calls, "calls", "name", "arguments", "after")
+        given, more_results = split_by_id(results, "results", "content")
+        key = F.struct("conv_id", "call_id")
+        before = F.when(F.col("after").isNotNull(), F.struct("conv_id", F.col("after").alias("call_id")))
+    else:
+        own = stored(first_by_id(calls, "conv_id", "name", "arguments", "after"), "calls")
+        given = stored(first_by_id(results, "content"), "results").withColumn("conv_id", F.lit(None))
+        key, before = F.col("call_id"), F.col("after")
+    own = own.withColumns({"key": key, "is_call": F.lit(True)})
+    given = given.select(
+        key.alias("key"),
+        F.col("conv_id").alias("result_conv"),
+        F.col("call_id").alias("result_id"),
+        F.col("turn").alias("result_turn"),
+        F.col("n_same").alias("n_results"),
+        "content",
+    )
+    depths = stored(call_depths(own.select(F.col("key").alias("call_id"), before.alias("after"))), "depths")
+    linked = own.join(given, "key", "full").join(depths.withColumnRenamed("call_id", "key"), "key", "left")
+    linked = linked.select(
+        F.coalesce("conv_id", "result_conv").alias("conv_id"),
+        F.coalesce("call_id", "result_id").alias("call_id"),
+        "name",
+        "arguments",
+        "content",
+        F.coalesce("turn", "result_turn").alias("turn"),
+        "depth",
+        F.coalesce("is_call", F.lit(False)).alias("is_call"),
+        F.coalesce("n_same", "n_results").alias("n_same"),
+        "n_results",
+        F.lit(None).cast("string").alias("status"),
+    )
+    if by_conversation:
+        for more, is_call in ((more_calls, True), (more_results, False)):
+            more = more.withColumn("is_call", F.lit(is_call))
+            if not is_call:
+                more = more.withColumn("n_results", F.col("n_same"))
+            linked = linked.unionByName(more.drop("after"), allowMissingColumns=True)
+    facts = checked(F.col("is_call"), F.col("call_id"), F.col("name"), F.col("arguments"), F.col("content"), schemas)
+    linked = linked.withColumn("c", facts)
     status = (
-        F.when(F.col("is_call").isNull(), "no_call")
+        F.when(F.col("status").isNotNull(), F.col("status"))
+        .when(~F.col("is_call"), "no_call")
         .when(F.col("depth").isNull(), "cycle")
         .when(F.size("c.problems") > 0, "invalid")
-        .when(F.col("result_turn").isNull() & F.col("n_results").isNull(), "no_result")
+        .when(F.col("n_results").isNull(), "no_result")
         .otherwise("linked")
     )
     return linked.select(
         "conv_id",
         "call_id",
         "name",
-        F.coalesce("turn", "result_turn").alias("turn"),
+        "turn",
         "depth",
         status.alias("status"),
-        F.coalesce(F.col("c.problems"), F.array().cast("array<string>")).alias("problems"),
-        F.coalesce("n_same", "n_results").alias("n_same"),
-        F.col("c.record").alias("record"),
+        F.col("c.problems").alias("problems"),
+        "n_same",
+        "n_results",
+        F.when(status != "no_call", F.col("c.record")).alias("record"),
     )

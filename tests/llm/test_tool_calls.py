@@ -1,6 +1,7 @@
 import json
 import random
 
+from ledgerloom.llm.queries import op5_tool_calls
 from ledgerloom.llm.tool_calls import call_depths, canonical, check, formatted, link_tool_calls
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after string"
@@ -61,6 +62,37 @@ def test_repeated_identifiers(spark):
     assert json.loads(got["c"].record) == {"id": "c", "name": "add", "arguments": {"a": 1, "b": 2}, "result": "soon"}
 
 
+def test_identifiers_hold_within_a_conversation(spark):
+    """call_0 in every conversation, null conversations and identifiers, and equal rows: each comes back."""
+    good = '{"a":1,"b":2}'
+    calls = [(c, t, f"call_{t}", "add", good, "call_0" if t else None) for c in (1, 2, 3, None) for t in (0, 1)]
+    calls += [(1, 5, "call_0", "add", '{"a":9,"b":9}', None)] * 3 + [(2, 7, None, "add", good, None), (2, 8, None, "add", good, None)]
+    results = [(c, 1, "call_0", f"of {c}") for c in (1, 2, None)] * 2 + [(1, 9, "call_0", "again"), (3, 9, "call_9", "orphan"), (3, 9, None, "lost")]
+    rows = link_tool_calls(
+        spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string"), SCHEMAS
+    ).collect()
+    seen = {(r.conv_id, r.call_id, r.status, r.turn): r for r in rows}
+    assert len(seen) == len(rows) == 14
+    for c in (1, 2, None):
+        first = seen[c, "call_0", "linked", 0]
+        assert json.loads(first.record)["result"] == f"of {c}" and (first.n_same, first.n_results) == (1, 2)
+    assert seen[3, "call_0", "no_result", 0].n_results is None
+    assert all(seen[c, "call_1", "no_result", 1].depth == 1 for c in (1, 2, 3, None))
+    assert seen[1, "call_0", "duplicate", 5].n_same == 3 and json.loads(seen[1, "call_0", "duplicate", 5].record)["arguments"] == {"a": 9, "b": 9}
+    assert json.loads(seen[1, "call_0", "duplicate", 9].record) == {"id": "call_0", "result": "again"}
+    assert (3, "call_9", "no_call", 9) in seen and (2, None, "no_id", 7) in seen and (2, None, "no_id", 8) in seen
+    assert json.loads(seen[3, None, "no_id", 9].record)["result"] == "lost"
+
+
+def test_query_keeps_turns_without_a_conversation(spark, tmp_path):
+    rows = [(c, t, role, f"{c} {text} {t}") for c in (1, None) for text in ("x", "y") for t, role in enumerate(("user", "assistant", "user")) if c is None or text == "x"]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = op5_tool_calls(spark, str(tmp_path)).collect()
+    # the two calls without a conversation are equal in all columns, their results are not
+    assert sorted((r.status, r.n_same) for r in got) == [("invalid", 1), ("no_id", 1), ("no_id", 1), ("no_id", 2)]
+    assert {json.loads(r.record)["result"] for r in got if r.name is None} == {"None x 2", "None y 2"}
+
+
 def test_depths_against_walks(spark):
     rng = random.Random(4)
     parent = {f"n{i}": (f"n{rng.randrange(i)}" if i and rng.random() < 0.9 else None) for i in range(300)}
