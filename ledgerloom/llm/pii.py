@@ -1,7 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, context sets the score.
 
 Kinds, in this order: ``email``, ``ip`` (parts up to 255), ``card`` (16 to 19 digits that pass Luhn),
-``phone`` (international form, 8 to 15 digits) and ``iban`` (passes mod 97). Matches are
+``phone`` (international form, 8 to 15 digits) and ``iban`` (has its country's length and passes
+mod 97; of a country not listed the longest run of whole words that passes). Matches are
 leftmost and do not overlap within a kind; one that fails its check is dropped. A span's score is
 that of its kind, raised by words such as "card" or "call" close before or after it.
 
@@ -46,7 +47,19 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30}))")
+WORD_GOES_ON = re.compile(r"[A-Za-z0-9]")
+#: Characters of an IBAN by country, as registered.
+IBAN_CHARS = {
+    country: chars
+    for chars, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -102,9 +115,20 @@ def mod_97(iban: str) -> bool:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for run in IBAN.finditer(text):
-        if mod_97(run[0].replace(" ", "")):
-            yield run.span()
+    free = 0  # end of the last match
+    for head in IBAN.finditer(text):
+        if head.start() < free:
+            continue
+        chars, found, own = head[0], None, IBAN_CHARS.get(head[0][:2])
+        for at in range(head.end(), head.end(1)):
+            if text[at] == " ":
+                continue
+            chars += text[at]
+            if len(chars) >= 15 and own in (None, len(chars)) and not WORD_GOES_ON.match(text, at + 1) and mod_97(chars):
+                found = at + 1
+        if found:
+            yield head.start(), found
+            free = found
 
 
 FINDERS = {"email": emails, "ip": addresses, "card": cards, "phone": phones, "iban": ibans}

@@ -41,6 +41,19 @@ def test_checksums():
     assert [(s["kind"], s["start"]) for s in found if s["kind"] == "iban"] == [("iban", 6), ("iban", 35)]
 
 
+def test_ibans_before_and_behind_other_words():
+    german, british, norwegian, unlisted = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "GF41 2004 1010 0505 0001 3M02 606"
+    for iban in (german, "DE89 3704 0044 0532 0130 00", british, norwegian, unlisted):
+        assert mod_97(iban.replace(" ", ""))
+        for behind in ("", " BIC COBADEFFXXX", " BY MONDAY", " 2024", " 12 May", " I", ".", " 10 20 30", f" {german}"):
+            for before in ("IBAN ", "REF NO12 ", "BIC COBADEFFXXX ", ""):
+                text = f"{before}{iban}{behind}"
+                found = [text[s["start"] : s["end"]] for s in find_spans(text, ("iban",))]
+                assert found == [iban] + [german] * (german in behind), text
+    for wrong in ("DE89370400440532013001 2024", "DE893704004405320130", german + "X"):
+        assert not find_spans(wrong, ("iban",))
+
+
 def test_context_raises_the_score():
     alone, named = (next(s for s in find_spans(t) if s["kind"] == "phone") for t in ("xx +1 988 555 2485 xx", "please call +1 988 555 2485"))
     assert alone["score"] < named["score"] <= 1
