@@ -30,7 +30,7 @@ KINDS = ("email", "ip", "card", "phone", "iban")
 #: Score without context, by kind.
 PRIOR = {"email": 0.9, "ip": 0.5, "card": 0.8, "phone": 0.6, "iban": 0.9}
 CONTEXT = {
-    "email": ("mail", "contact", "write"),
+    "email": ("email", "mail", "contact", "write"),
     "ip": ("ip", "server", "host", "address"),
     "card": ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta"),
     "phone": ("phone", "call", "tel", "mobile", "fax", "telefon", "telefono"),

@@ -59,6 +59,15 @@ def test_context_raises_the_score():
     assert alone["score"] < named["score"] <= 1
 
 
+def test_each_context_word_raises_the_score():
+    values = {"email": "a@b.cd", "ip": "10.0.0.1", "card": "4111111111111111", "phone": "+1 988 555 2485", "iban": "DE89370400440532013000"}
+    for kind, value in values.items():
+        for word in pii.CONTEXT[kind]:
+            for text in (f"{word}: {value}", f"{value} ({word.upper()})"):
+                assert [s["score"] > pii.PRIOR[kind] for s in find_spans(text, (kind,))] == [True], text
+    assert find_spans("email: a@b.cd")[0]["score"] > pii.PRIOR["email"]
+
+
 def test_long_runs_take_linear_time():
     start = time.time()
     for text in ("a" * 500_000, "a@" * 200_000, "1" * 500_000, "1." * 200_000, "1 " * 200_000, "+1(" * 200_000, "+1" + "(" * 500_000, "a.b-" * 100_000 + "@", "AB12" * 100_000, "a@b." * 100_000):
