@@ -15,7 +15,7 @@ With two tags the recursions are about one number a word, its log-odds. All word
 updated at once, then only those whose neighbour moved, until nothing moves.
 
 Defined results: null, empty and word-less texts have the score of a text without toxic words and no
-spans. Without labelled rows of both kinds every text gets the share of toxic rows (0
+spans; a word that repeats the one before counts once, its span ends behind the last copy. Without labelled rows of both kinds every text gets the share of toxic rows (0
 without any). Repeated rows are scored alike; other columns stay.
 """
 
@@ -63,15 +63,16 @@ class Crf:
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Lower-cased bytes, start and end of each word, and its row. A word that repeats the
-    one before is left out: it says nothing new and would add up along the chain."""
+    """Lower-cased bytes, start and end of each word, its row, and the end of its last repeat. A word
+    that repeats the one before is left out: it says nothing new and would add up along the chain."""
     lowered = LOWER[data]
     starts, ends = word_bounds(lowered, offsets, ALPHANUMERIC)
     row = np.searchsorted(offsets, starts, "right") - 1
     hashes = span_hashes(lowered, starts, ends)
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
-    return lowered, starts[new], ends[new], row[new]
+    last = np.append(np.flatnonzero(new)[1:], len(starts))[: int(new.sum())] - 1
+    return lowered, starts[new], ends[new], row[new], ends[last]
 
 
 def token_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -239,7 +240,7 @@ def fit(sample: list[tuple[str, int]], shares: dict[int, float]) -> Crf:
     # the sample is bounded, so it is one block
     texts = pa.array([t for t, _ in sample], pa.large_string())
     ((data, offsets),) = blocks(texts, limit=1 << 62)
-    data, starts, ends, row = tokens(data, offsets)
+    data, starts, ends, row, _ = tokens(data, offsets)
     own = ~copies(data, starts, ends, row, len(sample))
     row_kept = own[row]
     features = token_features(data, starts, ends)[:, row_kept]
@@ -268,7 +269,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE, m
 
 def score_block(data: np.ndarray, offsets: np.ndarray, m: Crf) -> Iterator[dict]:
     n_rows = len(offsets) - 1
-    lowered, starts, ends, row = tokens(data, offsets)
+    lowered, starts, ends, row, repeated_to = tokens(data, offsets)
     emission = np.full(len(starts), m.bias)
     for places in token_features(lowered, starts, ends):
         emission += m.weights[places]
@@ -285,7 +286,7 @@ def score_block(data: np.ndarray, offsets: np.ndarray, m: Crf) -> Iterator[dict]
             spans.setdefault(r, []).append(
                 {
                     "start": int(chars[starts[run[0]]] - origin),
-                    "end": int(chars[ends[run[-1]]] - origin),
+                    "end": int(chars[repeated_to[run[-1]]] - origin),
                     "score": float(sigmoid(logits[run].max())),
                 }
             )

@@ -1,9 +1,11 @@
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import toxicity
+from ledgerloom.llm.arrays import blocks
 from ledgerloom.llm.sampling import held_out, labelled_sample
 from ledgerloom.llm.toxicity import Crf, drop_toxic, marginals, row_edges, score_toxicity, train
 from tests.llm.data import STRANGE, nothing, strange
@@ -87,6 +89,18 @@ def test_repeated_words_count_once(trained, spark):
     assert a == pytest.approx(b)
 
 
+def test_spans_hold_repeated_words():
+    texts = ["you idiot idiot Idiot!", "idiot", "idiot é idiot idiot", "calm calm calm", "", "idiot idiot"]
+    ((data, offsets),) = blocks(pa.array(["idiot"], pa.large_string()))
+    lowered, starts, ends, *_ = toxicity.tokens(data, offsets)
+    model = Crf(bias=-5.0)
+    model.weights[toxicity.token_features(lowered, starts, ends)] = 4
+    found = [r for data, offsets in blocks(pa.array(texts, pa.large_string())) for r in toxicity.score_block(data, offsets, model)]
+    assert [[t[s["start"] : s["end"]] for s in r["spans"]] for t, r in zip(texts, found)] == [
+        ["idiot idiot Idiot"], ["idiot"], ["idiot", "idiot idiot"], [], [], ["idiot idiot"],
+    ]
+
+
 def test_strange_rows(trained, spark):
     _, _, model = trained
     docs = strange(spark)
