@@ -43,6 +43,9 @@ TYPES = {
     "object": dict,
     "null": type(None),
 }
+KEYWORDS = {"type", "enum", "required", "properties", "additionalProperties", "items"}
+#: Keywords that say nothing about validity.
+NOTES = {"title", "description", "default", "examples", "$comment", "$schema"}
 
 
 def canonical(value) -> str:
@@ -71,6 +74,23 @@ def check(value, schema: dict, at: str = "$") -> Iterator[str]:
             yield from check(item, schema["items"], f"{at}[{i}]")
 
 
+def refuse_unsupported(schema: dict, at: str = "$") -> None:
+    """Raises for a schema with a keyword that ``check`` would pass over."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema is an object")
+    if unknown := sorted(set(schema) - KEYWORDS - NOTES):
+        raise ValueError(f"{at}: unsupported {', '.join(unknown)}")
+    kind = schema.get("type")
+    if kind is not None and (not isinstance(kind, str) or kind not in TYPES):
+        raise ValueError(f"{at}: unsupported type {kind}")
+    if schema.get("additionalProperties", False) not in (True, False):
+        raise ValueError(f"{at}: unsupported schema in additionalProperties")
+    for name, inner in schema.get("properties", {}).items():
+        refuse_unsupported(inner, f"{at}.{name}")
+    if "items" in schema:
+        refuse_unsupported(schema["items"], f"{at}[]")
+
+
 def unique(pairs: list[tuple]) -> dict:
     out = dict(pairs)
     if len(out) < len(pairs):
@@ -163,9 +183,12 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     """One row for each call, and for each result without one.
 
     ``calls``: conv_id, turn, call_id, name, arguments (JSON), after. ``results``: conv_id, turn, call_id,
-    content; without conv_id they are joined by call_id alone. ``schemas``: a JSON Schema by tool name.
+    content; without conv_id they are joined by call_id alone. ``schemas``: a JSON Schema by tool name;
+    one with keywords that ``check`` does not know raises.
     Result: conv_id, call_id, name, turn, depth, status, problems, n_same, n_results, record.
     """
+    for name, schema in schemas.items():
+        refuse_unsupported(schema, name)
     by_conversation = "conv_id" in results.columns
     if by_conversation:
         own, more_calls = split_by_id(calls, "calls", "name", "arguments", "after")
