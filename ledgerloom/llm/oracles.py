@@ -119,4 +119,44 @@ SELECT conv_id, coalesce(c.call_id, r.call_id) AS call_id, name, coalesce(c.turn
 FROM calls c FULL JOIN results r ON c.call_id = r.call_id LEFT JOIN depths d ON c.call_id = d.call_id
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_quality_rules": OP4, "op5_tool_calls": OP5}
+#: CRC-32 by its table, over the bytes of each distinct word.
+OP11 = rf"""
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda x:
+    list_reduce(range(8), lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, x)) AS steps),
+texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+own AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM texts) GROUP BY ALL),
+buckets AS (
+  SELECT word, xor(4294967295, list_reduce(
+      list_transform(range(1, length(hex(word)) // 2 + 1), lambda i: CAST('0x' || substr(hex(word), 2 * i - 1, 2) AS BIGINT)),
+      lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8), 4294967295)) % 10000 AS bucket
+  FROM (SELECT word FROM own UNION SELECT word FROM items), crc_table),
+s AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS n FROM own JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM items JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s, (SELECT coalesce(sum(n), 0) FROM t) AS t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1) * CAST(totals.s + 10000 AS DOUBLE)
+    / ((coalesce(s.n, 0) + 1) * CAST(totals.t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket), totals),
+weighed AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+  FROM own JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weighed USING (doc_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (WHERE n_features >= 20) OVER () AS fit
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= fit * 10 // 100 THEN place END AS rank
+FROM placed
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_quality_rules": OP4, "op5_tool_calls": OP5, "op11_resampling": OP11}

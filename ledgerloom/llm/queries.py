@@ -8,6 +8,7 @@ from .decontaminate import find_contamination
 from .mixing import mix_plan
 from .pii import find_pii
 from .quality_rules import quality_verdicts
+from .resampling import resampling_plan
 from .sampling import held_out
 from .sharding import shard_plan
 from .simhash import as_hex, simhash_components
@@ -165,6 +166,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    plan = resampling_plan(docs, table(spark, sf_dir, "benchmark", "text"))
+    return plan.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -176,4 +183,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
+    "op11_resampling": op11_resampling,
 }
