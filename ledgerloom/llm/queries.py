@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from . import language_id, toxicity
 from .decontaminate import find_contamination
 from .mixing import mix_plan
+from .order_minhash import edit_report
+from .periodic_runs import find_runs
 from .pii import find_pii
 from .quality_rules import quality_verdicts
 from .resampling import resampling_plan
@@ -172,6 +174,43 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def planted(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by a hash of its id, with its last words replaced by repeats of some of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, a, p, g = (F.col(c) for c in ("n", "a", "p", "g"))
+    chosen = docs.withColumn("words", F.when(h % 10 == 0, words)).withColumn("n", F.size("words")).withColumn("g", F.floor(h / 10))
+    chosen = chosen.withColumn("a", F.when(n > 0, g % n).cast("int"))
+    chosen = chosen.withColumn("p", (1 + F.floor((n - a) / (3 + g % 8))).cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    repeats = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), times)), F.lit(1), n - a)
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), a), repeats), " ")
+    return chosen.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(planted(table(spark, sf_dir, "documents", "doc_id", "text")))
+    runs = F.col("periodic.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", runs.alias("runs"), longest.alias("best"), lines.alias("lines"), "periodic.collapsed")
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.cast("long").alias("start"),
+        length.cast("long").alias("length"),
+        period.cast("long").alias("period"),
+        F.floor(F.lit(1000) * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -184,4 +223,6 @@ QUERIES = {
     "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
     "op11_resampling": op11_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fingerprints": op13_fingerprints,
 }
