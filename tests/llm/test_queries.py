@@ -17,11 +17,14 @@ COLUMNS = {
     "op7_": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op8_": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10_": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op12_": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op13_": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
 }
 
 
 def test_one_query_an_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
