@@ -21,10 +21,10 @@ NOT_A_NUMBER = "amount_not_a_number"
 AMOUNT_PROBLEM = "amount_problem"
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
+def parse_messages(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(value, timestamp)`` messages to raw fields.
 
-    Keeps the text and the ingest time, and marks messages that are not JSON.
+    Keeps the text and the ingest time (and the columns ``keep``), and marks messages that are not JSON.
     """
     schema = T.StructType([*RAW.fields, T.StructField(MALFORMED, T.StringType())])
     text = F.col("value").cast("string")
@@ -33,7 +33,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         text.alias("raw_value"),
         F.col("timestamp").alias("ingest_time"),
         parsed.alias("data"),
-    ).select("raw_value", "ingest_time", "data.*")
+        *keep,
+    ).select("raw_value", "ingest_time", "data.*", *keep)
 
 
 def raw_records(rows: DataFrame, ingest_time=None) -> DataFrame:
@@ -50,7 +51,7 @@ def raw_records(rows: DataFrame, ingest_time=None) -> DataFrame:
     )
 
 
-def type_records(raw: DataFrame) -> DataFrame:
+def type_records(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Names, types, date, time and partition day in one projection."""
     transaction_date = parse_date(*[parse_int(F.col(part)) for part in ("Day", "Month", "Year")])
     amount = parse_money(F.col("Amount"))
@@ -78,10 +79,11 @@ def type_records(raw: DataFrame) -> DataFrame:
         "ingest_time",
         MALFORMED,
         problem.alias(AMOUNT_PROBLEM),
+        *keep,
     )
 
 
-def refuse(converted: DataFrame) -> DataFrame:
+def refuse(converted: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every record with its ``outcome``; the text is kept only where refused."""
     reason = (
         F.when(F.col(MALFORMED).isNotNull(), MALFORMED_MESSAGE)
@@ -97,13 +99,14 @@ def refuse(converted: DataFrame) -> DataFrame:
         F.when(refused, F.col("raw_value")).alias("raw_value"),
         "ingest_time",
         F.when(refused, REFUSED).otherwise(ACCEPTED).alias("outcome"),
+        *keep,
     )
 
 
-def clean_raw(raw: DataFrame, rates: DataFrame, time: Column | None = None) -> DataFrame:
+def clean_raw(raw: DataFrame, rates: DataFrame, time: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """All of the cleaning: raw records to records with an outcome. ``time`` is the ingest time
-    where all records have the same."""
-    return refuse(with_amount_vnd(type_records(raw), rates, "ingest_time", time))
+    where all records have the same; ``keep`` are columns that go through as they are."""
+    return refuse(with_amount_vnd(type_records(raw, keep), rates, "ingest_time", time), keep)
 
 
 def accepted(records: DataFrame) -> DataFrame:

@@ -6,11 +6,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sinks import paths
+from ledgerloom.schema import UNDATED
+from ledgerloom.sinks import generations, paths
 
 GRAINS = ("day", "month", "year")
-#: Fixed value: how a partition of NULL is named.
-UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
 def latest_bounds_frame(df: DataFrame) -> DataFrame:
@@ -42,11 +41,17 @@ class LatestBounds:
 
     @classmethod
     def of_lake(cls, spark: SparkSession, lake: str) -> "LatestBounds":
-        """From the names of the partition folders, newest first until one has a file."""
+        """From the names of the partition folders, newest first until one has a file that counts."""
         folders = paths.matching(spark, f"{lake}/outcome=clean/ds=*")
         days = sorted({f.rsplit("ds=", 1)[1] for f in folders} - {UNDATED}, reverse=True)
-        found = (d for d in days if paths.matching(spark, f"{lake}/outcome=clean/ds={d}/*/*.parquet"))
-        day = next(found, None)
+        known = generations.committed(spark, lake)
+
+        def has_rows(day: str) -> bool:
+            files = paths.matching(spark, f"{lake}/outcome=clean/ds={day}/*/*.parquet")
+            batches = {f.split("/")[-2].removeprefix("batch=") for f in files}
+            return any(known.counts(("clean", day), batch) for batch in batches)
+
+        day = next(filter(has_rows, days), None)
         if day is None:
             return cls(None, None, None)
         day = date.fromisoformat(day)

@@ -1,35 +1,44 @@
 """Rollups of the whole history, kept by day and brought up to date.
 
 Past days do not change unless a batch touches them. So the rollups that cover all of history
-are stored partitioned by ``ds``, together with the files that each day was made from; a run
-computes the days whose files are others now, and nothing else.
+are stored partitioned by ``ds``, together with a table of the attempts to store batches that each day was
+made from; a run computes the days whose attempts are others now, and nothing else. Both sides of that
+comparison are tables, read and joined by executors: the driver learns the days to compute and no more. Packing
+the files of a day anew changes no attempt, so compacted days stay as they are.
 """
 
-from collections import defaultdict
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.grains import UNDATED
 from ledgerloom.plans.catalog import REPORTS
 from ledgerloom.plans.reports import aggregates, finish, with_derived_keys
 from ledgerloom.plans.shared import FREQUENT, ROLLUPS, roll_up
-from ledgerloom.schema import CLEAN
+from ledgerloom.schema import CLEAN, UNDATED
 from ledgerloom.sinks import paths
+from ledgerloom.sinks.manifests import read_manifests
 from ledgerloom.sources.files import read_clean
 
 KEPT = ("by_user_day", "by_merchant_day", "by_day_type", FREQUENT)
-STATE = "_files"
+STATE = "_attempts"
 
 
-def files_by_day(spark: SparkSession, lake: str) -> dict[str, str]:
-    """The names of a day's files; each write gives new ones."""
-    found = defaultdict(list)
-    for path in paths.matching(spark, f"{lake}/outcome=clean/ds=*/batch=*/*.parquet"):
-        folders = path.split("/")
-        found[folders[-3].removeprefix("ds=")].append(f"{folders[-2]}/{folders[-1]}")
-    return {day: "\n".join(sorted(names)) for day, names in found.items() if day != UNDATED}
+def attempts_by_day(spark: SparkSession, lake: str) -> DataFrame:
+    """(ds, batch, attempt) of clean rows. One that was broken off is another one than the same finished."""
+    lines = read_manifests(spark, lake).where(F.col("outcome") == "clean").where(F.col("ds") != UNDATED)
+    return lines.select("ds", "batch", F.concat_ws(" ", "attempt", "state").alias("attempt")).distinct()
+
+
+def changed_days(now: DataFrame, known: DataFrame) -> tuple[list[str], list[str]]:
+    """Days with an attempt on one side only: those to compute, and those that are there no more."""
+    keys = ["ds", "batch", "attempt"]
+    both = now.withColumn("here", F.lit(True)).join(known.withColumn("there", F.lit(True)), keys, "full")
+    days = both.groupBy("ds").agg(
+        F.count("here").alias("here"), F.count_if(F.col("here").isNull() | F.col("there").isNull()).alias("changed")
+    )
+    rows = days.where("changed > 0").select("ds", "here").collect()  # one row a touched day
+    return sorted(r.ds for r in rows if r.here), sorted(r.ds for r in rows if not r.here)
 
 
 def frequent_days(rows: DataFrame) -> DataFrame:
@@ -42,20 +51,18 @@ def frequent_days(rows: DataFrame) -> DataFrame:
 def update_history(spark: SparkSession, lake: str, store: str) -> list[date]:
     """Bring the rollups below ``store`` up to date with a lake; gives the days computed.
 
-    The state is written last, so a run that breaks off is made up for by the next. Days
-    without files any more are removed.
+    The state is written last, so a run that breaks off is made up for by the next; it is taken before
+    rows are read, so a batch that comes meanwhile is seen by the next. Days without rows any more
+    are removed.
     """
-    now = files_by_day(spark, lake)
-    known: dict[str, str] = {}
-    if paths.exists(spark, f"{store}/{STATE}"):
-        known = {r.ds: r.files for r in spark.read.parquet(f"{store}/{STATE}").collect()}  # one row a day
-    touched = sorted(day for day in now if now[day] != known.get(day))
-    gone = set(known) - set(now)
+    state, new = f"{store}/{STATE}", f"{store}/{STATE}_new"
+    attempts_by_day(spark, lake).write.mode("overwrite").parquet(new)
+    now = spark.read.parquet(new)
+    known = spark.read.parquet(state) if paths.exists(spark, state) else now.limit(0)
+    touched, gone = changed_days(now, known)
     days = [date.fromisoformat(day) for day in touched]
-    rows = read_clean(spark, lake)
-    if len(touched) < len(now):
-        rows = rows.where(F.col("ds").isin(days))
     for name in KEPT if touched else ():
+        rows = read_clean(spark, lake).where(F.col("ds").isin(days))
         made = frequent_days(rows) if name == FREQUENT else roll_up(rows, ROLLUPS[name], None, (), None)
         for day in touched:  # a day may have no row left in a rollup
             paths.delete(spark, f"{store}/{name}/ds={day}")
@@ -69,10 +76,10 @@ def update_history(spark: SparkSession, lake: str, store: str) -> list[date]:
         for name in KEPT:
             paths.delete(spark, f"{store}/{name}/ds={day}")
     if touched or gone:
-        state = spark.createDataFrame(sorted(now.items()), "ds string, files string")
-        state.coalesce(1).write.mode("overwrite").parquet(f"{store}/{STATE}_new")
-        paths.delete(spark, f"{store}/{STATE}")
-        paths.rename(spark, f"{store}/{STATE}_new", f"{store}/{STATE}")
+        paths.delete(spark, state)
+        paths.rename(spark, new, state)
+    else:
+        paths.delete(spark, new)
     return days
 
 

@@ -31,6 +31,9 @@ MESSAGE = T.StructType(
     ]
 )
 
+#: Fixed value: how a partition of NULL is named.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
 #: Money is decimal and the converted amount bigint: float32 loses cents and
 #: int32 overflows at about 84,600 USD.
 CLEAN = T.StructType(
@@ -71,3 +74,12 @@ REJECTED = T.StructType(
         T.StructField("processed_at", T.TimestampType()),
     ]
 )
+
+#: All that a lake file holds: a record with what it was refused for, and the attempt that stored it.
+LAKE = T.StructType(
+    [
+        *(field for field in CLEAN if field.name != "ds"),
+        *(field for field in REJECTED if field.name != "processed_at"),
+        T.StructField("attempt", T.StringType()),
+    ]
+)

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators.clean import ACCEPTED, MALFORMED, REFUSED
 from ledgerloom.schema import CLEAN, RAW_FIELDS, REJECTED
+from ledgerloom.sinks import generations
 from ledgerloom.sinks.paths import exists
 
 
@@ -18,7 +19,13 @@ def _read_outcome(
     stored = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
     if "ds" not in schema.fieldNames():
         stored = stored.add("ds", T.DateType())
-    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames())
+    # what counts is looked up before files are listed: a rewriting that commits in between is not seen
+    # yet, and the old files are there
+    known = generations.committed(spark, lake)
+    rows = spark.read.schema(stored).parquet(path)
+    if generations.last_started(spark, lake):
+        rows = rows.where(generations.counting(known, outcome))
+    return rows.select(*schema.fieldNames())
 
 
 def read_clean(spark: SparkSession, lake: str) -> DataFrame:

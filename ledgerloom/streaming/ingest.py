@@ -10,11 +10,8 @@ from ledgerloom.sinks.lake import replace_batch
 
 
 def store_batch(messages: DataFrame, rates: DataFrame, lake: str, batch: str) -> None:
-    """Clean, convert and store one batch of messages; nothing if it is empty."""
-    if messages.isEmpty():
-        return
-    # not write_lake: rates may have come since a first, uncommitted attempt, and then
-    # records change sides
+    """Clean, convert and store one batch of messages; nothing if it is empty, which shows when it
+    is written. Rates may have come since a first, uncommitted attempt; then records change sides."""
     replace_batch(clean_raw(parse_messages(messages), rates), lake, batch)
 
 

@@ -48,9 +48,12 @@ def times_around(rates, seed):
 
 
 @pytest.mark.parametrize("shuffled", [False, True])
-@pytest.mark.parametrize("n, buckets", [(1, 50_000), (2, 50_000), (60, 50_000), (60, 3), (60, 1)])
-def test_rate_as_of(spark, monkeypatch, shuffled, n, buckets):
+@pytest.mark.parametrize(
+    "n, buckets, depth", [(1, 50_000, 1), (2, 50_000, 1), (60, 50_000, 1), (60, 50_000, 64), (60, 3, 1), (60, 1, 1), (60, 7, 2)]
+)
+def test_rate_as_of(spark, monkeypatch, shuffled, n, buckets, depth):
     monkeypatch.setattr(fx, "MAX_BUCKETS", buckets)
+    monkeypatch.setattr(fx, "LEAST_DEPTH", depth)
     if shuffled:
         monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 0)
     rates = irregular(n, n)
@@ -73,6 +76,53 @@ def test_lookup_stays_small(spark):
     assert fx.rates_by_bucket(distinct, buckets).count() <= buckets.rates + buckets.count
 
 
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_bounds_cut_the_rates_evenly(spark, monkeypatch, shuffled):
+    monkeypatch.setattr(fx, "LEAST_DEPTH", 8)
+    if shuffled:
+        monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 0)
+    distinct = fx.distinct_rates(rates_frame(spark, irregular(4, 300)))
+    times = sorted(r.effective_from for r in distinct.collect())
+    buckets = fx.Buckets.over(distinct)
+    assert (buckets.rates, buckets.depth, buckets.count) == (len(times), 8, -(-len(times) // 8))
+    rows = sorted(fx.rates_by_bucket(distinct, buckets).collect())
+    assert [len(r.times) for r in rows[:-1]] == [8] * (len(rows) - 1)
+    assert [us for r in rows for us in r.times] == [round(t.timestamp() * 1_000_000) for t in (t.replace(tzinfo=timezone.utc) for t in times)]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 7, 8, 9, 100])
+def test_binary_search(spark, most):
+    times = list(range(0, 2 * most, 2))
+    df = spark.range(-1, 2 * most + 2).withColumn("times", F.array(*map(F.lit, times)))
+    for row in df.select("id", fx.at_or_before(F.col("times"), F.col("id"), most).alias("n")).collect():
+        assert row.n == bisect.bisect_right(times, row.id)
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_a_burst_of_rates_after_quiet_years(spark, monkeypatch, shuffled):
+    """Ten years without a change, then a million rates within an hour: no row of the lookup is long."""
+    if not shuffled:
+        monkeypatch.setattr(fx, "MAX_BROADCAST_RATES", 2_000_000)
+    n, burst = 1_000_000, START + timedelta(days=3650)
+    start_us = int(burst.timestamp() * 1_000_000)
+    rates = spark.range(n).select(
+        F.timestamp_micros(F.lit(start_us) + F.col("id") * 3600).alias("effective_from"),
+        F.lit("USD").alias("currency"),
+        (20_000 + F.col("id") % 7919).cast("decimal(18,4)").alias("vnd_per_usd"),
+    ).union(rates_frame(spark, [(START, 15_000)]))
+    distinct = fx.distinct_rates(rates)
+    buckets = fx.Buckets.over(distinct)
+    assert buckets.rates == n + 1 and buckets.depth == 64
+    sizes = fx.rates_by_bucket(distinct, buckets).agg(F.max(F.size("times")), F.count("*")).first()
+    assert tuple(sizes) == (64, -(-(n + 1) // 64))
+    rng = random.Random(1)
+    times = [(i, rng.randrange(-10_000_000, 3_700_000_000)) for i in range(2000)]
+    records = spark.createDataFrame(times, "i int, us long").withColumn("at", F.timestamp_micros(F.lit(start_us) + F.col("us")))
+    found = {r.i: r.vnd_per_usd for r in fx.with_rate(records, rates, "at").collect()}
+    for i, us in times:
+        assert found[i] == (15_000 if us < 0 else 20_000 + min(us // 3600, n - 1) % 7919)
+
+
 def test_large_rate_tables_are_not_broadcast(spark, monkeypatch):
     records = spark.createDataFrame([(1, START)], "i int, at timestamp")
     rates = rates_frame(spark, irregular(5, 20))
