@@ -211,6 +211,9 @@ def statements() -> dict[str, str]:
         "published_files": published_body(),
     }
     same_rate = f"SELECT {CLEAN_ROW}, amount_vnd FROM t"
+    each_once = f"""
+SELECT user_id, strftime(ts, '%H:%M:00') AS time, CASE WHEN rate IS NOT NULL THEN ds END AS ds,
+  CASE WHEN rate IS NULL THEN 'rejected' ELSE 'clean' END AS outcome FROM ({CONVERTED})"""
     events = {
         "clean_from_json": same_rate,
         "clean_from_csv": same_rate,
@@ -240,9 +243,14 @@ FROM (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS ragged FROM t) GROUP BY
         "CAST(25000 + day(ts) * 10 AS DOUBLE) AS vnd_per_usd, "
         "CAST(round(amount_usd * CAST(25000 + day(ts) * 10 AS DECIMAL(18,4))) AS BIGINT) AS amount_vnd FROM t",
         "incremental_daily_summary": bodies["daily_summary"],
-        "replayed_stream": f"""
-SELECT user_id, strftime(ts, '%H:%M:00') AS time, CASE WHEN rate IS NOT NULL THEN ds END AS ds,
-  CASE WHEN rate IS NULL THEN 'rejected' ELSE 'clean' END AS outcome FROM ({CONVERTED})""",
+        "replayed_stream": each_once,
+        "retaken_records": each_once,
+        "compacted_lake": same_rate,
+        "batch_counts": """
+SELECT 'b' || (event_id % 7) AS batch,
+  CAST(count(*) FILTER (WHERE event_id % 7 <> 3) AS BIGINT) AS accepted,
+  CAST(count(*) FILTER (WHERE event_id % 7 = 3) AS BIGINT) AS refused
+FROM t GROUP BY 1""",
     }
     return {key: over(LINEITEM, body) for key, body in lineitem.items()} | {
         key: over(EVENTS, body) for key, body in events.items()

@@ -27,6 +27,7 @@ from ledgerloom.plans.history import KEPT, kept_rollup
 from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
 from ledgerloom.schema import RAW_FIELDS
 from ledgerloom.session import scratch_dir
+from ledgerloom.sinks.manifests import batch_counts as read_batch_counts
 from ledgerloom.sinks.warehouse import csv_path, write_reports
 from ledgerloom.streaming.ingest import store_batch
 
@@ -303,8 +304,13 @@ def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = sources.read_messages(spark, "parquet", f"{scratch}/messages")
     for known in (noon_rates(spark, sf_dir).limit(0), noon_rates(spark, sf_dir)):
         store_batch(messages, known, f"{scratch}/lake", "query-0")
-    clean = sources.read_clean(spark, f"{scratch}/lake").select("user_id", "time", "ds", F.lit("clean").alias("outcome"))
-    refused = sources.read_rejected(spark, f"{scratch}/lake").select(
+    return both_outcomes(spark, f"{scratch}/lake")
+
+
+def both_outcomes(spark: SparkSession, lake: str) -> DataFrame:
+    """Every stored record once, with what identifies it and where it is."""
+    clean = sources.read_clean(spark, lake).select("user_id", "time", "ds", F.lit("clean").alias("outcome"))
+    refused = sources.read_rejected(spark, lake).select(
         F.get_json_object("raw_value", "$.User").cast("int").alias("user_id"),
         F.concat(F.get_json_object("raw_value", "$.Time"), F.lit(":00")).alias("time"),
         F.lit(None).cast("date").alias("ds"),
@@ -313,6 +319,50 @@ def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.union(refused)
 
 
+def compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five batches, the last stored without two thirds of its rows; packed; that batch stored again
+    as it should be, and packed again."""
+    lake = f"{scratch_dir(spark, 'compacted')}/lake"
+    rows, number = raw_from_events(spark, sf_dir), F.col("event_id") % 5
+    for batch in range(5):
+        part = rows.where(number == batch)
+        known = part.where(F.col("event_id") % 3 == 0) if batch == 4 else part
+        jobs.store_batch_records(jobs.ingest_batch(known.select(*RAW_FIELDS), constant_rate(spark)), lake, f"b{batch}")
+    jobs.compact(spark, lake, least_files=2)
+    part = rows.where(number == 4)
+    jobs.store_batch_records(jobs.ingest_batch(part.select(*RAW_FIELDS), constant_rate(spark)), lake, "b4")
+    jobs.compact(spark, lake, least_files=2)
+    return comparable(sources.read_clean(spark, lake))
+
+
+def retaken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches stored before most of their rates were known; taken in again, twice, with all rates;
+    one of them stored again after that."""
+    scratch = scratch_dir(spark, "retaken")
+    lake = f"{scratch}/lake"
+    message_archive(spark, sf_dir, f"{scratch}/messages")
+    messages = sources.read_messages(spark, "parquet", f"{scratch}/messages")
+    rates = noon_rates(spark, sf_dir)
+    late = F.dayofmonth("effective_from") > 20
+    for batch in range(2):
+        part = messages.where(F.pmod(F.xxhash64("value", "timestamp"), F.lit(2)) == batch)
+        store_batch(part, rates.where(late), lake, f"query-{batch}")
+    for _ in range(2):
+        jobs.retake_refused(spark, lake, rates)
+    store_batch(messages.where(F.pmod(F.xxhash64("value", "timestamp"), F.lit(2)) == 0), rates, lake, "query-0")
+    return both_outcomes(spark, lake)
+
+
+def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of seven batches took in and refused, as its write counted it."""
+    lake = f"{scratch_dir(spark, 'counts')}/lake"
+    rows, number = raw_from_events(spark, sf_dir), F.col("event_id") % 7
+    for batch in range(7):
+        part = rows.where(number == batch).select(*(F.lit("x").alias(c) if batch == 3 and c == "Year" else F.col(f"`{c}`") for c in RAW_FIELDS))
+        jobs.store_batch_records(jobs.ingest_batch(part, constant_rate(spark)), lake, f"b{batch}")
+    return read_batch_counts(spark, lake)
+
+
 def registered() -> dict[str, Query]:
     queries: dict[str, Query] = {d.id: dataset_query(d) for d in DATASETS.values()}
     queries |= {f"shared_{key}": shared_query(DATASETS[key]) for key in SHARED}
@@ -341,4 +391,7 @@ def registered() -> dict[str, Query]:
         "rates_from_json": rates_from_json,
         "sorted_report": sorted_report,
         "incremental_daily_summary": incremental_daily_summary,
+        "compacted_lake": compacted_lake,
+        "retaken_records": retaken_records,
+        "batch_counts": batch_counts,
     }

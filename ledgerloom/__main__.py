@@ -8,6 +8,7 @@ from ledgerloom import jobs, sources
 from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.plans import DATASETS
 from ledgerloom.session import get_session
+from ledgerloom.sinks.compaction import LEAST_FILES
 
 
 def key_values(pairs: list[str]) -> dict[str, str]:
@@ -37,8 +38,11 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument(
         "--ingest-time", metavar="TIMESTAMP", help="decides the rate; the time of the run unless given"
     )
-    for sub in (stream, batch):
+    retake = command("retake", "lake", "rates")
+    for sub in (stream, batch, retake):
         sub.add_argument("--whole-file-rates", action="store_true")
+    pack = command("compact", "lake")
+    pack.add_argument("--least-files", type=int, default=LEAST_FILES, help="of a day, for it to be packed")
 
     send = command("send-csv", "input")
     send.add_argument("--format", default="kafka")
@@ -83,6 +87,11 @@ def main(argv: list[str] | None = None) -> None:
         time = F.to_timestamp(F.lit(args.ingest_time)) if args.ingest_time else None
         records = jobs.ingest_batch(rows, rates, time)
         jobs.store_batch_records(records, args.lake, args.batch)
+    elif args.command == "retake":
+        rates = sources.read_rates_json(spark, args.rates, args.whole_file_rates)
+        print(f"accepted now: {jobs.retake_refused(spark, args.lake, rates)}")
+    elif args.command == "compact":
+        print(f"days packed: {len(jobs.compact(spark, args.lake, args.least_files))}")
     elif args.command == "send-csv":
         rows = sources.read_transactions_csv(spark, args.input)
         options = key_values(args.option)

@@ -13,18 +13,22 @@ from ledgerloom.plans.history import KEPT, kept_rollup, update_history
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import paths
-from ledgerloom.sinks.lake import replace_batch
+from ledgerloom.sinks.compaction import compact
+from ledgerloom.sinks.lake import write_lake
 from ledgerloom.sinks.publish import publish, verify_outputs
+from ledgerloom.sinks.retake import retake_refused
 from ledgerloom.sinks.warehouse import write_reports
 from ledgerloom.sources.files import read_clean
 from ledgerloom.streaming.ingest import ingest_stream
 
 __all__ = [
     "build_reports",
+    "compact",
     "ingest_batch",
     "ingest_messages",
     "ingest_stream",
     "publish",
+    "retake_refused",
     "run_daily",
     "run_daily_lake",
     "store_batch_records",
@@ -56,7 +60,7 @@ def ingest_messages(messages: DataFrame, rates: DataFrame) -> DataFrame:
 
 def store_batch_records(records: DataFrame, lake: str, batch: str) -> None:
     """Store ingested records; stored again, the same ``batch`` replaces itself."""
-    replace_batch(records, lake, batch)
+    write_lake(records, lake, batch)
 
 
 def store_reports(

@@ -63,7 +63,3 @@ def put_in_place(spark: SparkSession, lake: str, manifest: Manifest, old: tuple[
             manifest = manifest.with_folders(STORED, new)
             write_manifest(spark, lake, manifest)
             return manifest
-
-
-def replace_batch(records: DataFrame, lake: str, batch: str) -> Manifest | None:
-    return write_lake(records, lake, batch)

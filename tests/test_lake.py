@@ -4,16 +4,19 @@ import os
 import time
 from collections import Counter
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 
 from ledgerloom import jobs, sources
 from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.plans.history import update_history
+from ledgerloom.schema import FX
 from ledgerloom.sinks import compaction, generations, lake as lake_sink, manifests, paths
 from ledgerloom.sinks.compaction import compact
+from ledgerloom.streaming.ingest import store_batch
 from tests.data import as_set
-from tests.test_ingest import clean, raw
+from tests.test_ingest import START, clean, messages, rates, raw
 
 
 def store(spark, lake, batch, *rows):
@@ -277,3 +280,73 @@ def test_history_state_stays_with_executors(spark, lake, tmp_path):
     known = now.where("ds <> '2002-09-02' OR batch <> 'b1'")
     assert history.changed_days(now, known) == (["2002-09-02"], [])
     assert history.changed_days(now.where("ds = '2002-09-01'"), now) == ([], ["2002-09-02", "2002-09-03"])
+
+
+def refused_without_rates(spark, lake):
+    """Two batches of which only broken records should have been refused."""
+    none = spark.createDataFrame([], FX)
+    for batch, day in (("one", "1"), ("two", "2")):
+        store_batch(messages(spark, [raw(Day=day), raw(Day="3", User="7"), "{bad", raw(Amount="", Day="4")]), none, lake, batch)
+
+
+def test_refused_records_are_taken_in_again(spark, lake, tmp_path, monkeypatch):
+    refused_without_rates(spark, lake)
+    assert days(spark, lake) == {4: 2}  # no amount, so no rate is wanted
+    history = str(tmp_path / "history")
+    update_history(spark, lake, history)
+    seen = []
+    commit = generations.commit
+
+    def watched(*args, **options):
+        seen.append([sum(c.values()) for c in contents(spark, lake)])
+        commit(*args, **options)
+        seen.append([sum(c.values()) for c in contents(spark, lake)])
+
+    with monkeypatch.context() as m:
+        m.setattr(generations, "commit", watched)
+        assert jobs.retake_refused(spark, lake, rates(spark)) == 4
+    assert seen == [[2, 6], [6, 2]]  # at any time each record once
+    assert days(spark, lake) == {1: 1, 2: 1, 3: 2, 4: 2}
+    assert {r.reject_reason for r in sources.read_rejected(spark, lake).collect()} == {"malformed_message"}
+    assert jobs.retake_refused(spark, lake, rates(spark)) == 0
+    assert days(spark, lake) == {1: 1, 2: 1, 3: 2, 4: 2}
+    counts = {r.batch: (r.accepted, r.refused) for r in manifests.batch_counts(spark, lake).collect()}
+    assert counts == {"one": (3, 1), "two": (3, 1)}
+    assert [d.day for d in update_history(spark, lake, history)] == [1, 2, 3]
+
+
+def test_replay_after_taking_in_again(spark, lake):
+    refused_without_rates(spark, lake)
+    jobs.retake_refused(spark, lake, rates(spark))
+    store(spark, lake, "one", raw(Day="3", User="8"))
+    rows = sources.read_clean(spark, lake).collect()
+    assert sorted((r.ds.day, r.user_id) for r in rows) == [(2, 0), (3, 7), (3, 8), (4, 0)]
+    assert sources.read_rejected(spark, lake).count() == 1
+    compact(spark, lake, least_files=1)
+    store(spark, lake, "two")
+    assert days(spark, lake) == {3: 1}
+    assert sources.read_rejected(spark, lake).count() == 0
+
+
+def test_a_retake_that_breaks_off_changes_nothing(spark, lake, monkeypatch):
+    refused_without_rates(spark, lake)
+    before = contents(spark, lake)
+    with monkeypatch.context() as m:
+        m.setattr(generations, "commit", lambda *args, **options: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.retake_refused(spark, lake, rates(spark))
+    assert contents(spark, lake) == before
+    compact(spark, lake, least_files=1)  # a later number does not make its folders count
+    assert contents(spark, lake) == before
+    assert jobs.retake_refused(spark, lake, rates(spark)) == 4
+    assert days(spark, lake) == {1: 1, 2: 1, 3: 2, 4: 2}
+
+
+def test_a_new_reason_is_kept(spark, lake):
+    """Still refused, but for something else."""
+    store_batch(messages(spark, [raw(Amount="$9999999999.00")]), spark.createDataFrame([], FX), lake, "one")
+    huge = spark.createDataFrame([(START, "USD", Decimal("99999999999999"))], FX)
+    assert [r.reject_reason for r in sources.read_rejected(spark, lake).collect()] == ["no_rate"]
+    assert jobs.retake_refused(spark, lake, huge) == 0
+    assert [r.reject_reason for r in sources.read_rejected(spark, lake).collect()] == ["amount_out_of_range"]
+    assert jobs.retake_refused(spark, lake, rates(spark)) == 1
