@@ -243,6 +243,8 @@ FROM (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS ragged FROM t) GROUP BY
         "CAST(25000 + day(ts) * 10 AS DOUBLE) AS vnd_per_usd, "
         "CAST(round(amount_usd * CAST(25000 + day(ts) * 10 AS DECIMAL(18,4))) AS BIGINT) AS amount_vnd FROM t",
         "incremental_daily_summary": bodies["daily_summary"],
+        "kept_merchant_analysis_month": bodies["merchant_analysis_month"],
+        "kept_high_value_analysis_month": bodies["high_value_analysis_month"],
         "replayed_stream": each_once,
         "retaken_records": each_once,
         "compacted_lake": same_rate,

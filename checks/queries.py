@@ -21,9 +21,9 @@ from ledgerloom.operators.clean import (
     type_records,
 )
 from ledgerloom.operators.fx import with_amount_vnd
-from ledgerloom.operators.grains import GRAINS, latest_bounds_frame
+from ledgerloom.operators.grains import GRAINS, LatestBounds, latest_bounds_frame
 from ledgerloom.plans import DATASETS, REPORTS, Dataset, build_reports, report
-from ledgerloom.plans.history import KEPT, kept_rollup
+from ledgerloom.plans.history import kept_rollups
 from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
 from ledgerloom.schema import RAW_FIELDS
 from ledgerloom.session import scratch_dir
@@ -217,9 +217,9 @@ def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count("*").alias("row_count"))
 
 
-def incremental_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily summary from kept rollups, after a first batch, and a second one that adds
-    to some days of the first."""
+def kept_reports(spark: SparkSession, sf_dir: str, name: str, grain: str | None) -> DataFrame:
+    """A report out of the states kept by day, after a first batch, and a second one that adds
+    to some days of the first. The transactions themselves are not looked at."""
     scratch = scratch_dir(spark, "history")
     lake, store = f"{scratch}/lake", f"{scratch}/history"
     rows = raw_from_events(spark, sf_dir)
@@ -228,9 +228,26 @@ def incremental_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = jobs.ingest_batch(part.select(*RAW_FIELDS), constant_rate(spark))
         jobs.store_batch_records(records, lake, batch)
         jobs.update_history(spark, lake, store)
-    kept = {name: kept_rollup(spark, store, name) for name in KEPT}
-    clean = sources.read_clean(spark, lake)
-    return build_reports(clean, f"{scratch}/rollups", ["daily_summary"], kept=kept)["daily_summary"]
+    bounds = LatestBounds.of_lake(spark, lake)
+    kept = kept_rollups(spark, store, f"{scratch}/merged", bounds)
+    none = sources.read_clean(spark, lake).where("1 = 0")
+    grains = [grain] if grain else None
+    built = build_reports(none, f"{scratch}/rollups", [name], grains, threshold=None, bounds=bounds, kept=kept)
+    return built[f"{name}_{grain}" if grain else name]
+
+
+def incremental_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_reports(spark, sf_dir, "daily_summary", None)
+
+
+def kept_merchant_analysis_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a month as the union of sets kept by day."""
+    return kept_reports(spark, sf_dir, "merchant_analysis", "month")
+
+
+def kept_high_value_analysis_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact limit, and what lies above it, from kept slices and tails."""
+    return kept_reports(spark, sf_dir, "high_value_analysis", "month")
 
 
 def sent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,6 +408,8 @@ def registered() -> dict[str, Query]:
         "rates_from_json": rates_from_json,
         "sorted_report": sorted_report,
         "incremental_daily_summary": incremental_daily_summary,
+        "kept_merchant_analysis_month": kept_merchant_analysis_month,
+        "kept_high_value_analysis_month": kept_high_value_analysis_month,
         "compacted_lake": compacted_lake,
         "retaken_records": retaken_records,
         "batch_counts": batch_counts,

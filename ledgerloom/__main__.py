@@ -53,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
 
     reports = command("reports", "lake", "warehouse")
     daily = command("daily", "lake", "warehouse", "dest")
-    daily.add_argument("--history", help="where rollups of past days are kept between runs")
+    daily.add_argument("--history", help="where states of past days are kept between runs; the limit is exact then")
     for sub in (reports, daily):
         sub.add_argument("--threshold", choices=("exact", "approx"), default="exact")
 
@@ -107,9 +107,7 @@ def main(argv: list[str] | None = None) -> None:
             bounds=LatestBounds.of_lake(spark, args.lake),
         )
     elif args.command == "daily" and args.history:
-        jobs.run_daily_lake(
-            spark, args.lake, args.history, args.warehouse, args.dest, threshold=args.threshold
-        ).show(len(DATASETS), truncate=False)
+        jobs.run_daily_lake(spark, args.lake, args.history, args.warehouse, args.dest).show(len(DATASETS), truncate=False)
     elif args.command == "daily":
         jobs.run_daily(
             spark,

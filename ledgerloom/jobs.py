@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.failures import DatasetFailures
 from ledgerloom.operators.clean import clean_raw, parse_messages, raw_records
 from ledgerloom.operators.grains import LatestBounds
-from ledgerloom.plans.history import KEPT, kept_rollup, update_history
+from ledgerloom.plans.history import kept_rollups, update_history
 from ledgerloom.plans.shared import build_reports
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import paths
@@ -128,18 +128,14 @@ def run_daily_lake(
     history: str,
     warehouse: str,
     dest: str,
-    threshold: int | str | None = "exact",
 ) -> DataFrame:
-    """B6 on a lake, with the rollups over all of history kept below ``history``: only days
-    whose files changed since the last run are read for them."""
+    """B6 on a lake, with the state of every day kept below ``history``: only days that batches touched
+    since the last run are read. The high-value limit is exact."""
     update_history(spark, lake, history)
-    kept = {name: kept_rollup(spark, history, name) for name in KEPT}
-    return run_daily(
-        spark,
-        read_clean(spark, lake),
-        warehouse,
-        dest,
-        threshold=threshold,
-        bounds=LatestBounds.of_lake(spark, lake),
-        kept=kept,
-    )
+    bounds = LatestBounds.of_lake(spark, lake)
+    scratch = scratch_dir(spark, "kept")
+    try:
+        kept = kept_rollups(spark, history, scratch, bounds)
+        return run_daily(spark, read_clean(spark, lake), warehouse, dest, bounds=bounds, kept=kept)
+    finally:
+        paths.delete(spark, scratch)

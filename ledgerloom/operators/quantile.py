@@ -1,5 +1,6 @@
 """Quantile of a whole-number column (A10), exact or approximate."""
 
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark import StorageLevel
@@ -30,20 +31,37 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> int | None:
     one count like any other.
     """
     values = df.select(F.col(column).cast("bigint").alias("v"))
-    slices = _counted(values, _logarithmic(F.col("v")), F.count("v"))
+    slices = _counted(values, logarithmic(F.col("v")), F.count("v"))
+    found = slice_at(slices, p)
+    if found is None or found.low == found.high:
+        return found and found.low
+    inside = values.where(F.col("v").between(found.low, found.high))
+    return value_in(inside.groupBy("v").agg(F.count("*").alias("n")), found)
+
+
+@dataclass(frozen=True)
+class Slice:
+    """The slice of values that holds a rank."""
+
+    low: int
+    high: int
+    below: int
+    rank: int
+
+
+def slice_at(slices: list[Row], p: float) -> Slice | None:
+    """The slice that holds the quantile, out of (slice, n, low, high) in value order; None without values."""
     total = sum(piece.n for piece in slices)
     if not total:
         return None
     rank = _wanted_rank(p, total)
-    low, high, below = _slice_of(slices, rank, 0)
-    if low == high:
-        return low
-    counts = (
-        values.where(F.col("v").between(low, high))
-        .groupBy("v")
-        .agg(F.count("*").alias("n"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    return Slice(*_slice_of(slices, rank, 0), rank)
+
+
+def value_in(counts: DataFrame, found: Slice) -> int:
+    """The value of the slice's rank, from (v, n): its values and how often each occurs."""
+    low, high, below, rank = found.low, found.high, found.below, found.rank
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         while low < high:
             width = -(-(high - low + 1) // SLICES)
@@ -55,7 +73,7 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> int | None:
         counts.unpersist()
 
 
-def _logarithmic(value: Column) -> Column:
+def logarithmic(value: Column) -> Column:
     """Slice number growing with the value, fine around every magnitude."""
     x = value.cast("double")
     return F.floor(F.signum(x) * F.log2(F.abs(x) + 1) * SLICES_PER_DOUBLING)
