@@ -96,27 +96,41 @@ FROM judged
 
 OP5 = r"""
 WITH RECURSIVE calls AS (
-  SELECT conv_id, turn, conv_id || '-' || turn AS call_id, conv_id || '-' || (turn - 2) AS after,
-    CASE turn % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'summarise' END AS name,
+  SELECT conv_id, turn, conv_id * 7 + turn AS number, text,
+    'call-' || CASE WHEN (conv_id * 7 + turn) % 17 = 0 THEN turn - 2 ELSE turn END AS call_id,
+    'call-' || CASE WHEN (conv_id * 7 + turn) % 19 = 0 THEN turn + 2 ELSE turn - 2 END AS after,
+    CASE WHEN (conv_id * 7 + turn) % 13 = 0 THEN 'unlisted' WHEN turn % 3 = 0 THEN 'search'
+      WHEN turn % 3 = 1 THEN 'lookup' ELSE 'summarise' END AS name,
+    (conv_id * 7 + turn) % 11 = 0 AS broken,
     CASE turn % 3
-      WHEN 0 THEN '{"limit":' || turn || ',"query":' || to_json(string_split(text, ' ')[1]) || '}'
-      WHEN 1 THEN '{' || coalesce('"key":' || to_json(string_split(text, ' ')[30]) || ',', '') || '"strict":true}'
-      ELSE '{"max_words":' || length(text) || ',"text":' || to_json(text) || '}' END AS arguments,
-    CASE WHEN turn % 3 = 1 AND string_split(text, ' ')[30] IS NULL THEN '$.key: missing' ELSE '' END AS problems
+      WHEN 0 THEN '{"limit":' || turn || ',"query":' || to_json(text) || '}'
+      WHEN 1 THEN '{"key":' || to_json(text) || ',"strict":true}'
+      ELSE '{"max_words":' || length(text) || ',"text":' || to_json(text) || '}' END AS arguments
   FROM conversations WHERE role = 'assistant'),
+ranked AS (
+  SELECT *, CASE WHEN broken THEN 'arguments are not JSON' WHEN name = 'unlisted' THEN 'unknown tool unlisted' ELSE '' END AS problems,
+    row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn) AS place FROM calls),
+firsts AS (SELECT * FROM ranked WHERE place = 1),
 results AS (
-  SELECT turn, conv_id || '-' || (turn - 1) AS call_id, text AS content
-  FROM conversations WHERE role = 'user' AND turn > 0),
+  SELECT conv_id, turn, 'call-' || (turn - 1) AS call_id, text AS content
+  FROM conversations WHERE role <> 'assistant'),
 depths AS (
-  SELECT call_id, CAST(0 AS BIGINT) AS depth FROM calls WHERE after NOT IN (SELECT call_id FROM calls)
-  UNION ALL SELECT c.call_id, d.depth + 1 FROM calls c JOIN depths d ON c.after = d.call_id)
-SELECT conv_id, coalesce(c.call_id, r.call_id) AS call_id, name, coalesce(c.turn, r.turn) AS turn, depth,
-  CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN problems <> '' THEN 'invalid'
+  SELECT conv_id, call_id, CAST(0 AS BIGINT) AS depth FROM firsts f
+  WHERE NOT EXISTS (SELECT 1 FROM firsts g WHERE g.conv_id = f.conv_id AND g.call_id = f.after)
+  UNION ALL SELECT c.conv_id, c.call_id, d.depth + 1 FROM firsts c JOIN depths d ON c.conv_id = d.conv_id AND c.after = d.call_id)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, name, coalesce(c.turn, r.turn) AS turn, depth,
+  CASE WHEN c.call_id IS NULL THEN 'no_call' WHEN depth IS NULL THEN 'cycle' WHEN problems <> '' THEN 'invalid'
     WHEN r.call_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
   coalesce(problems, '') AS problems, CAST(1 AS BIGINT) AS n_same,
-  '{"arguments":' || arguments || ',"id":' || to_json(c.call_id) || ',"name":' || to_json(name)
-    || ',"result":' || CASE WHEN r.call_id IS NULL THEN 'null' ELSE to_json(content) END || '}' AS record
-FROM calls c FULL JOIN results r ON c.call_id = r.call_id LEFT JOIN depths d ON c.call_id = d.call_id
+  CAST(CASE WHEN r.call_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_results,
+  CASE WHEN NOT broken THEN '{"arguments":' || arguments || ',"id":' || to_json(c.call_id) || ',"name":' || to_json(name)
+    || ',"result":' || CASE WHEN r.call_id IS NULL THEN 'null' ELSE to_json(content) END || '}' END AS record
+FROM firsts c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+  LEFT JOIN depths d ON c.conv_id = d.conv_id AND c.call_id = d.call_id
+UNION ALL
+SELECT conv_id, call_id, name, turn, NULL, 'duplicate', problems, 1, 0,
+  CASE WHEN NOT broken THEN '{"arguments":' || arguments || ',"id":' || to_json(call_id) || ',"name":' || to_json(name) || ',"result":null}' END
+FROM ranked WHERE place > 1
 """
 
 #: CRC-32 by its table, over the bytes of each distinct word.

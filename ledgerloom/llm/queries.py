@@ -83,34 +83,36 @@ SCHEMAS = {
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table has no tool calls, so they are derived from it: every assistant turn is a call, made
-    of its words, that uses the call two turns earlier; the next user turn is its result."""
+    """The table has no tool calls, so they are derived from it: every assistant turn is a call with its whole
+    text, that uses the call two turns earlier; every other turn is the result of the turn before it. Some calls
+    name a tool that isn't there, some have broken arguments, some use each other, and some share an identifier."""
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    number = F.coalesce("conv_id", F.lit(0)) * 7 + F.col("turn")
 
     def name_of(turn: Column) -> Column:
-        return F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+        return F.concat(F.lit("call-"), turn.cast("string"))
 
-    words, kind = F.split("text", " "), F.col("turn") % 3
-    arguments = (
-        F.when(kind == 0, F.to_json(F.struct(F.get(words, F.lit(0)).alias("query"), F.col("turn").alias("limit"))))
-        .when(kind == 1, F.to_json(F.struct(F.lit(True).alias("strict"), F.get(words, F.lit(29)).alias("key"))))
+    kind = F.col("turn") % 3
+    whole = (
+        F.when(kind == 0, F.to_json(F.struct(F.col("text").alias("query"), F.col("turn").alias("limit"))))
+        .when(kind == 1, F.to_json(F.struct(F.lit(True).alias("strict"), F.col("text").alias("key"))))
         .otherwise(F.to_json(F.struct(F.col("text"), F.length("text").alias("max_words"))))
     )
+    # a call whose number is a multiple of 17 has the identifier of the one before it
+    own = F.when(number % 17 == 0, F.col("turn") - 2).otherwise(F.col("turn"))
     calls = turns.where("role = 'assistant'").select(
         "conv_id",
         "turn",
-        name_of(F.col("turn")).alias("call_id"),
-        F.when(kind == 0, "search").when(kind == 1, "lookup").otherwise("summarise").alias("name"),
-        arguments.alias("arguments"),
-        name_of(F.col("turn") - 2).alias("after"),
+        name_of(own).alias("call_id"),
+        F.when(number % 13 == 0, "unlisted").when(kind == 0, "search").when(kind == 1, "lookup").otherwise("summarise").alias("name"),
+        F.when(number % 11 == 0, F.concat(F.lit("{"), "text")).otherwise(whole).alias("arguments"),
+        name_of(F.when(number % 19 == 0, F.col("turn") + 2).otherwise(F.col("turn") - 2)).alias("after"),
     )
-    results = turns.where("role = 'user' and turn > 0").select(
+    results = turns.where("role <> 'assistant'").select(
         "conv_id", "turn", name_of(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content")
     )
-    linked = link_tool_calls(calls, results, SCHEMAS).drop("n_results")
-    # the statement gives a result without a call no conversation; its identifier names it
-    linked = linked.withColumn("conv_id", F.when(F.col("status") != "no_call", F.col("conv_id")))
-    return linked.withColumn("problems", F.array_join("problems", "; "))
+    linked = link_tool_calls(calls, results, SCHEMAS)
+    return linked.withColumns({"problems": F.array_join("problems", "; "), "n_results": F.coalesce("n_results", F.lit(0))})
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

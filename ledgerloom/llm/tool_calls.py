@@ -14,10 +14,10 @@ Defined results: of several calls (or results) with one identifier the first by
 counts, the others come as ``duplicate``; a null identifier links nothing, and
 such rows come as ``no_id``; rows equal in all columns are one row, their number is ``n_same`` of a call
 and ``n_results`` of a result. Results without ``conv_id`` can only be joined by ``call_id`` over the whole
-table: then the other rows of an identifier are left out and counted, and rows without one are left
-out. In both forms a call without result, an unknown tool, broken JSON and arguments against the
-schema are kept with their ``status``; results without a call come as ``no_call``; ``after`` that
-names no call counts as none; calls on a cycle or after one have no depth and status ``cycle``.
+table: then an identifier holds for all conversations. No row is left out: a call without result, an unknown tool, broken JSON and arguments against the
+schema come with their ``status``; results without a call come as ``no_call``; ``after`` that
+names no call counts as none; calls on a cycle or after one have no depth and status ``cycle``. Texts of any length go through whole; other columns
+of both tables are not looked at; empty tables give an empty one, or all rows of the other.
 """
 
 import json
@@ -131,13 +131,6 @@ def checked(is_call: Column, call_id: Column, name: Column, arguments: Column, r
     return compute(is_call, call_id, name, arguments, result)
 
 
-def first_by_id(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row for each identifier, the least by turn and content, and their number."""
-    least = F.min(F.struct("turn", *columns)).alias("least")
-    grouped = rows.where("call_id is not null").groupBy("call_id").agg(least, F.count("*").alias("n_same"))
-    return grouped.select("call_id", "least.*", "n_same")
-
-
 def split_by_id(rows: DataFrame, purpose: str, *columns: str) -> tuple[DataFrame, DataFrame]:
     """Equal rows counted in ``n_same``; then one row for each conversation and identifier, the least
     by turn and content, and all others with their ``status``."""
@@ -168,12 +161,11 @@ def call_depths(calls: DataFrame) -> DataFrame:
         further = state.select(
             F.col("call_id").alias("before"), F.col("before").alias("next"), F.col("depth").alias("more")
         )
-        state = stored(
-            state.join(further, "before", "left").select(
-                "call_id", F.col("next").alias("before"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
-            ),
-            "depths",
+        # calls that have come to a beginning are done, and stay out of the join
+        moved = state.where("before is not null").join(further, "before", "left").select(
+            "call_id", F.col("next").alias("before"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
         )
+        state = stored(state.where("before is null").select("call_id", "before", "depth").union(moved), "depths")
         if state.where("before is not null").isEmpty():
             break
     return state.select("call_id", F.when(F.col("before").isNull(), F.col("depth")).alias("depth"))
@@ -189,20 +181,18 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     """
     for name, schema in schemas.items():
         refuse_unsupported(schema, name)
-    by_conversation = "conv_id" in results.columns
-    if by_conversation:
-        own, more_calls = split_by_id(calls, "calls", "name", "arguments", "after")
-        given, more_results = split_by_id(results, "results", "content")
-        key = F.struct("conv_id", "call_id")
-        before = F.when(F.col("after").isNotNull(), F.struct("conv_id", F.col("after").alias("call_id")))
-    else:
-        own = stored(first_by_id(calls, "conv_id", "name", "arguments", "after"), "calls")
-        given = stored(first_by_id(results, "content"), "results").withColumn("conv_id", F.lit(None))
-        key, before = F.col("call_id"), F.col("after")
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after", F.col("conv_id").alias("of"))
+    results = results.withColumn("of", F.col("conv_id") if "conv_id" in results.columns else F.lit(None))
+    if "conv_id" not in results.columns:  # identifiers of one conversation, that of all
+        calls, results = (t.withColumn("conv_id", F.lit(None).cast(calls.schema["of"].dataType)) for t in (calls, results))
+    own, more_calls = split_by_id(calls, "calls", "name", "arguments", "after", "of")
+    given, more_results = split_by_id(results, "results", "content", "of")
+    key = F.struct("conv_id", "call_id")
+    before = F.when(F.col("after").isNotNull(), F.struct("conv_id", F.col("after").alias("call_id")))
     own = own.withColumns({"key": key, "is_call": F.lit(True)})
     given = given.select(
         key.alias("key"),
-        F.col("conv_id").alias("result_conv"),
+        F.col("of").alias("result_of"),
         F.col("call_id").alias("result_id"),
         F.col("turn").alias("result_turn"),
         F.col("n_same").alias("n_results"),
@@ -211,7 +201,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     depths = stored(call_depths(own.select(F.col("key").alias("call_id"), before.alias("after"))), "depths")
     linked = own.join(given, "key", "full").join(depths.withColumnRenamed("call_id", "key"), "key", "left")
     linked = linked.select(
-        F.coalesce("conv_id", "result_conv").alias("conv_id"),
+        F.coalesce("of", "result_of").alias("conv_id"),
         F.coalesce("call_id", "result_id").alias("call_id"),
         "name",
         "arguments",
@@ -223,12 +213,11 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
         "n_results",
         F.lit(None).cast("string").alias("status"),
     )
-    if by_conversation:
-        for more, is_call in ((more_calls, True), (more_results, False)):
-            more = more.withColumn("is_call", F.lit(is_call))
-            if not is_call:
-                more = more.withColumn("n_results", F.col("n_same"))
-            linked = linked.unionByName(more.drop("after"), allowMissingColumns=True)
+    for more, is_call in ((more_calls, True), (more_results, False)):
+        more = more.withColumns({"is_call": F.lit(is_call), "conv_id": F.col("of")})
+        if not is_call:
+            more = more.withColumn("n_results", F.col("n_same"))
+        linked = linked.unionByName(more.drop("after", "of"), allowMissingColumns=True)
     facts = checked(F.col("is_call"), F.col("call_id"), F.col("name"), F.col("arguments"), F.col("content"), schemas)
     linked = linked.withColumn("c", facts)
     status = (

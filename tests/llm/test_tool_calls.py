@@ -43,7 +43,7 @@ def test_statuses(spark):
         [(2, "c1", "é\n\"3\""), (4, "c2", None), (9, "orphan", "x"), (9, None, "x"), (1, "l1", ""), (3, "c4", "r")],
     )
     assert {k: r.status for k, r in got.items()} == {
-        "c1": "linked", "c2": "invalid", "c3": "invalid", "c4": "invalid", "c5": "no_result", "l1": "cycle",
+        None: "no_id", "c1": "linked", "c2": "invalid", "c3": "invalid", "c4": "invalid", "c5": "no_result", "l1": "cycle",
         "l2": "cycle", "l3": "cycle", "c6": "invalid", "self": "cycle", "orphan": "no_call",
     }
     assert {k: r.depth for k, r in got.items() if r.depth} == {"c2": 1, "c3": 2}
@@ -56,12 +56,31 @@ def test_statuses(spark):
 
 
 def test_repeated_identifiers(spark):
-    """The first call and the first result count."""
+    """The first call and the first result count, the others come as duplicates; equal rows are counted."""
     calls = [(1, 4, "c", "add", '{"a":1,"b":4}', None), (1, 2, "c", "add", '{"a":1,"b":2}', None), (1, 2, "c", "add", '{"a":1,"b":2}', None)]
-    got = linked(spark, calls * 50, [(9, "c", "late"), (3, "c", "soon")] * 50)
-    assert len(got) == 1
-    assert got["c"].n_same == 150
-    assert json.loads(got["c"].record) == {"id": "c", "name": "add", "arguments": {"a": 1, "b": 2}, "result": "soon"}
+    rows = link_tool_calls(spark.createDataFrame(calls * 50, CALLS), spark.createDataFrame([(9, "c", "late"), (3, "c", "soon")] * 50, RESULTS), SCHEMAS)
+    got = {(r.status, r.turn): r for r in rows.collect()}
+    assert set(got) == {("linked", 2), ("duplicate", 4), ("duplicate", 9)}
+    assert [got[k].n_same for k in sorted(got)] == [50, 50, 100]
+    assert json.loads(got["linked", 2].record) == {"id": "c", "name": "add", "arguments": {"a": 1, "b": 2}, "result": "soon"}
+
+
+def test_no_row_is_left_out_without_conversations_of_results(spark):
+    """Three calls and two results, two of them without an identifier, come back as five rows."""
+    good = '{"a":1,"b":2}'
+    calls = [(1, 1, "c", "add", good, None), (2, 1, "c", "add", good, None), (3, 1, None, "add", good, None)]
+    rows = link_tool_calls(spark.createDataFrame(calls, CALLS), spark.createDataFrame([(2, "c", "x"), (2, None, "y")], RESULTS), SCHEMAS).collect()
+    assert sorted((str(r.conv_id), r.status) for r in rows) == [("1", "linked"), ("2", "duplicate"), ("3", "no_id"), ("None", "no_id")]
+
+
+def test_long_texts_and_other_columns(spark):
+    """A text of a million letters goes through whole; columns named like the operator's own don't matter."""
+    long = "x" * 1_000_000
+    calls = spark.createDataFrame([(1, 1, "c", "add", json.dumps({"a": 1, "b": 2, "tags": [long]}), None, "k", "o", True, 9)], CALLS + ", key string, of string, is_call boolean, depth long")
+    results = spark.createDataFrame([(1, 2, "c", long, "k", "s", 7)], "conv_id long, turn long, call_id string, content string, key string, status string, n_same long")
+    (row,) = link_tool_calls(calls, results, SCHEMAS).collect()
+    record = json.loads(row.record)
+    assert row.status == "linked" and record["arguments"]["tags"] == [long] and record["result"] == long
 
 
 def test_identifiers_hold_within_a_conversation(spark):
@@ -90,9 +109,9 @@ def test_query_keeps_turns_without_a_conversation(spark, tmp_path):
     rows = [(c, t, role, f"{c} {text} {t}") for c in (1, None) for text in ("x", "y") for t, role in enumerate(("user", "assistant", "user")) if c is None or text == "x"]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = op5_tool_calls(spark, str(tmp_path)).collect()
-    # the two calls without a conversation are equal in all columns, their results are not
-    assert sorted((r.status, r.n_same) for r in got) == [("invalid", 1), ("no_id", 1), ("no_id", 1), ("no_id", 2)]
-    assert {json.loads(r.record)["result"] for r in got if r.name is None} == {"None x 2", "None y 2"}
+    # the conversation without a number has one result that counts, the other is a duplicate
+    assert sum(r.n_same for r in got if r.name is not None) == 3
+    assert {json.loads(r.record)["arguments"]["key"] for r in got if r.record and r.name} == {"1 x 1", "None x 1", "None y 1"}
 
 
 def test_depths_against_walks(spark):
