@@ -11,7 +11,8 @@ looked for in all documents, and what the blocks found is put together per text.
 
 Defined results: null, empty and word-less texts have no words and are clean; an item without
 words has no window; items that repeat count once per id, an item without an id hits but is not
-listed; repeated documents are each judged; extra columns stay.
+listed; repeated documents are each judged; a very long text is scanned whole by the task that has it; an empty table gives an
+empty one; a column named like ``into`` is replaced, other columns stay, whatever their names.
 """
 
 from collections.abc import Iterator

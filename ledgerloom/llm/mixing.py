@@ -13,7 +13,8 @@ of those before.
 Defined results: sources are ordered by code point, null last, and take the weights in turn;
 a null or word-less text has size 0 and is taken as often as its place in the queue allows; repeated
 rows queue up one by one; an empty table gives an empty mix. A document is taken whole or
-not at all, so a source ends within one document of its target.
+not at all, so a source ends within one document of its target; very long ones as well. ``mix`` returns the columns of
+``docs``, whatever their names.
 """
 
 from pyspark.sql import Column, DataFrame, Window

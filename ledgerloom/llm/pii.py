@@ -10,8 +10,8 @@ Every scan is linear in the text: an address is sought from its ``@`` outwards a
 digits are taken whole, because a search for the plain pattern from every
 character would need quadratic time on a long run of letters or digits.
 
-Defined results: null and empty texts have no spans; repeated rows are scanned alike; other
-columns stay. Offsets count code points, the end is excluded.
+Defined results: null and empty texts have no spans; repeated rows are scanned alike; an empty table gives an
+empty one; a column named like ``into`` is replaced, other columns stay, whatever their names. Offsets count code points, the end is excluded.
 """
 
 import re
@@ -25,6 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from .arrays import blocks
+from .names import fresh
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 #: Score without context, by kind.
@@ -184,8 +185,9 @@ def mask_pii(docs: DataFrame, text_column: str = "text", least: float = 0.0) ->
         for texts, found in batches:
             yield pa.array([masked(t.as_py(), s.as_py(), least) for t, s in zip(texts, found)], pa.string())
 
-    found = find_pii(docs, text_column, "_pii")
-    return found.withColumn(text_column, compute(F.col(text_column), F.col("_pii"))).drop("_pii")
+    spans = fresh(docs, "_pii")
+    found = find_pii(docs, text_column, spans)
+    return found.withColumn(text_column, compute(F.col(text_column), F.col(spans))).drop(spans)
 
 
 def masked(text: str | None, spans: list[dict] | None, least: float) -> str | None:

@@ -12,13 +12,15 @@ their language, or of all rows.
 Only DataFrame operations. Three-word windows are compared by 64-bit hash within a text.
 
 Defined results: a null, empty or word-less text has all counts 0 and fails the base rules; null
-languages and sources are groups of their own; repeated rows are judged alike; an empty
-table gives an empty one.
+languages and sources are groups of their own; repeated rows are judged alike; a very long text is counted whole,
+as a row of one task; an empty table gives an empty one. ``keep_good`` returns the columns of ``docs``, whatever their
+names.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .names import columns, fresh
 from .scratch import stored
 
 FENCE = 3
@@ -192,10 +194,11 @@ def quality_verdicts(
 def keep_good(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` without rejected texts."""
     verdicts = quality_verdicts(docs, id_column, text_column, **options)
+    mark = fresh(docs, "_key")
     key = F.struct(F.col(id_column).alias("id"), "lang", "source", "text_hash")
-    good = stored(verdicts.where("kept").select(key.alias("_key")).distinct(), "kept")
+    good = stored(verdicts.where("kept").select(key.alias(mark)).distinct(), "kept")
     lang, source = options.get("lang_column", "lang"), options.get("source_column", "source")
     here = F.struct(
         F.col(id_column).alias("id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.xxhash64(text_column).alias("text_hash")
     )
-    return docs.withColumn("_key", here).join(good, "_key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.withColumn(mark, here).join(good, mark, "left_semi").select(*columns(docs))

@@ -10,7 +10,8 @@ more distinct fingerprints than its ball holds (65 for a radius of 2), whatever
 Defined results: null and empty texts and texts without words have fingerprint zero and are
 linked like any other; a text with fewer words than a shingle is one shingle; repeated rows
 and rows with the same id are rows of their own in the fingerprint table; an id of null
-never names a component unless all its rows have none. An empty table gives an empty one.
+never names a component unless all its rows have none. A very long text is read whole by the task that has it. An
+empty table gives an empty one. Columns of ``docs`` may have any names; ``keep_one_per_component`` returns them.
 """
 
 from collections.abc import Iterator
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .names import columns, fresh
+from .runs import row_hash, row_key
 from .scratch import stored
 
 SHINGLE_WORDS = 3
@@ -99,12 +101,13 @@ def simhash_components(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One row per document: its id, ``fp``, ``text_hash`` (of the exact text), ``root`` (the
-    smallest fingerprint that it reaches over links) and ``component_id``, the smallest id."""
+    """One row per document: its id, ``fp``, ``text_hash`` (of the exact text), ``row_hash`` (of all
+    columns), ``root`` (the smallest fingerprint that it reaches over links) and ``component_id``, the smallest id."""
     rows = stored(
         docs.select(
             F.col(id_column),
             F.xxhash64(F.col(text_column)).alias("text_hash"),
+            row_hash(docs).alias("row_hash"),
             fingerprint(F.col(text_column), shingle_words).alias("fp"),
         ),
         "fingerprints",
@@ -119,7 +122,7 @@ def simhash_components(
     )
     roots = stored(members.groupBy("root").agg(F.min("first_id").alias("component_id")), "roots")
     named = stored(members.join(roots, "root").select("fp", "root", "component_id"), "named")
-    return rows.join(named, "fp").select(id_column, "fp", "text_hash", "root", "component_id")
+    return rows.join(named, "fp").select(id_column, "fp", "text_hash", "row_hash", "root", "component_id")
 
 
 def keep_one_per_component(
@@ -130,13 +133,15 @@ def keep_one_per_component(
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """``docs`` with one row of each component left: the one with the smallest id, of
-    several texts with that id the one with the smallest hash, of repeated rows any."""
+    several rows with that id the one whose text has the smallest hash, then the one whose other columns
+    have. Rows that are equal in all columns are one."""
     found = stored(simhash_components(docs, id_column, text_column, shingle_words, max_bits), "components")
-    first = F.min(F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "text_hash"))
+    first = F.min(
+        F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "text_hash", "row_hash")
+    )
     kept = found.groupBy("component_id", "root").agg(first.alias("kept"))
     mark = fresh(docs, "_key")
-    kept = kept.select(F.struct("kept.id", F.col("kept.text_hash").alias("hash")).alias(mark))
-    key = F.struct(F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("hash"))
-    # one row a key is wanted, so that repeated rows go too; texts are shuffled once, by the key
-    chosen = docs.withColumn(mark, key).join(kept, mark, "left_semi").dropDuplicates([mark])
+    kept = kept.select(F.struct("kept.id", F.col("kept.row_hash").alias("hash")).alias(mark))
+    # equal rows are left, of which one is wanted; texts are shuffled once, by the key
+    chosen = docs.withColumn(mark, row_key(docs, id_column)).join(kept, mark, "left_semi").dropDuplicates([mark])
     return chosen.select(*columns(docs))

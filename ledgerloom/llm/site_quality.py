@@ -9,7 +9,8 @@ score combines the rate of its path, without its own share, with its own evidenc
 
 Defined results: a null, empty or word-less text is judged on its counts of 0; null hosts and paths
 are sites of their own; without labelled rows of both kinds the evidence is neutral and every
-score is one half; repeated rows are rows of their own; an empty table gives an empty one.
+score is one half; repeated rows are rows of their own; a very long text is counted whole; an empty table gives an empty one.
+The result has its own columns only, so those of ``docs`` may have any names.
 """
 
 import numpy as np

@@ -16,7 +16,8 @@ updated at once, then only those whose neighbour moved, until nothing moves.
 
 Defined results: null, empty and word-less texts have the score of a text without toxic words and no
 spans; a word that repeats the one before counts once, its span ends behind the last copy. Without labelled rows of both kinds every text gets the share of toxic rows (0
-without any). Repeated rows are scored alike; other columns stay.
+without any). Repeated rows are scored alike; a very long text is scored whole by the task that has it; an empty table gives
+an empty one; a column named like ``into`` is replaced, other columns stay, whatever their names.
 """
 
 from collections.abc import Iterator

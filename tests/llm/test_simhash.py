@@ -105,6 +105,17 @@ def test_one_of_each_component_stays(spark):
     assert ids.count(1) == 2 and 2 not in ids and 4 not in ids and ids.count(None) == 2
 
 
+def test_the_same_survivor_in_any_order(spark):
+    """Rows with one id and text that differ in other columns: which one stays does not hang on their order."""
+    rows = [(1, "a b c d", name, None) for name in "abcdef"] + [(2, "a b c d", "g", "x"), (None, "a b c d", "h", None)]
+    kept = []
+    for seed in range(5):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, row_hash string").repartition(seed + 1)
+        kept.append([tuple(r) for r in keep_one_per_component(docs).collect()])
+    assert len(kept[0]) == 1 and kept[0][0][0] == 1 and all(k == kept[0] for k in kept)
+
+
 def test_near_copies_fall_together(spark):
     text = words(3, 4000)
     docs = spark.createDataFrame([(5, text), (2, text + " end"), (9, words(4, 4000)), (1, words(5, 4000))], "doc_id long, text string")
