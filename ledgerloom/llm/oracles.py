@@ -28,26 +28,29 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM texts LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
-#: The measures, in thousandths, and what is tolerated of each.
-MEASURES = """(VALUES ('symbols', symbols, 0, 100), ('dup_lines', dup_lines, 0, 500),
-  ('repeats', repeats, 0, 450), ('word_length', word_length, 3000, 10000)) AS m(measure, value, least, most)"""
+#: The measures, in thousandths.
+MEASURES = """(VALUES ('symbols', symbols), ('dup_lines', dup_lines), ('repeats', repeats), ('word_length', word_length)) AS m(measure, value)"""
 
 
-def limits(groups: str) -> str:
-    """Fences for each of ``groups`` (column names, each followed by a comma)."""
+def width(value: str) -> str:
+    """Of a value's bucket."""
+    return f"(CAST(1 AS BIGINT) << greatest(0, length(ltrim(bin({value}), '0')) - 6))"
+
+
+def shrunk(groups: str, towards: str, on: str) -> str:
+    """The share of rows up to each bucket in millionths, by ``groups`` (column names, each followed by a comma), with
+    1000 rows of the curve ``towards`` added."""
+    names = [g.strip() for g in groups.split(",") if g.strip()]
+    same = " AND ".join(f"c.{g} IS NOT DISTINCT FROM g.{g}" for g in names)
+    columns = ", ".join(f"g.{g}" for g in names)
     return f"""
-  SELECT {groups} measure, max(total) AS rows,
-    least(any_value(least), q1 - 3 * (q3 - q1)) AS low, greatest(any_value(most), q3 + 3 * (q3 - q1)) AS high
-  FROM (SELECT {groups} measure, any_value(least) AS least, any_value(most) AS most, max(total) AS total,
-      min(CASE WHEN upto * 4 >= total THEN bucket END) AS q1,
-      min(CASE WHEN upto * 4 >= total * 3 THEN bucket END) AS q3
-    FROM (SELECT {groups} measure, bucket, least, most,
-        sum(n) OVER (PARTITION BY {groups} measure ORDER BY bucket) AS upto,
-        sum(n) OVER (PARTITION BY {groups} measure) AS total
-      FROM (SELECT {groups} measure, bucket, any_value(least) AS least, any_value(most) AS most, count(*) AS n
-        FROM measured WHERE NOT base_failed GROUP BY {groups} measure, bucket))
-    GROUP BY {groups} measure)
-  GROUP BY {groups} measure, q1, q3"""
+  SELECT {columns}, t.measure, t.bucket,
+    (CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY {columns}, t.measure ORDER BY t.bucket) AS BIGINT) * 1000000 + t.share * 1000)
+      // (CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY {columns}, t.measure) AS BIGINT) + 1000) AS share
+  FROM (SELECT DISTINCT {", ".join(names)} FROM judged WHERE NOT base_failed) g
+  JOIN {towards} t ON {on}
+  LEFT JOIN (SELECT {groups} measure, bucket, count(*) AS n FROM measured WHERE NOT base_failed GROUP BY ALL) c
+    ON {same} AND c.measure = t.measure AND c.bucket = t.bucket"""
 
 
 OP4 = rf"""
@@ -74,21 +77,29 @@ judged AS (
     n_repeat_words * 1000 // greatest(n_words, 1) AS repeats, word_chars * 1000 // greatest(n_words, 1) AS word_length
   FROM counts),
 widths AS (
-  SELECT doc_id, lang, source, base_failed, measure, value, least, most,
-    CAST(1 AS BIGINT) << greatest(0, length(ltrim(bin(value), '0')) - 6) AS width
+  SELECT doc_id, lang, source, base_failed, measure, value,
+    {width("value")} AS width
   FROM judged, LATERAL (SELECT * FROM {MEASURES})),
 measured AS (SELECT *, value - value % width + width - 1 AS bucket FROM widths),
-own AS ({limits("lang, source,")}),
-by_lang AS ({limits("lang,")}),
-every AS ({limits("")}),
+every AS (
+  SELECT measure, bucket, CAST(sum(n) OVER (PARTITION BY measure ORDER BY bucket) AS BIGINT) * 1000000
+    // CAST(sum(n) OVER (PARTITION BY measure) AS BIGINT) AS share
+  FROM (SELECT measure, bucket, count(*) AS n FROM measured WHERE NOT base_failed GROUP BY ALL)),
+by_lang AS ({shrunk("lang,", "every", "true")}),
+own AS ({shrunk("lang, source,", "by_lang", "t.lang IS NOT DISTINCT FROM g.lang")}),
+quantiles AS (
+  SELECT lang, source, measure, min(bucket) FILTER (share >= 150000) AS q15, min(bucket) FILTER (share >= 500000) AS q50,
+    min(bucket) FILTER (share >= 850000) AS q85, min(bucket) FILTER (share >= 990000) AS q99
+  FROM own GROUP BY lang, source, measure),
+limits AS (
+  SELECT lang, source, measure, CASE WHEN measure = 'word_length' THEN q15 - 6 * greatest(q50 - q15, {width("q15")}) ELSE 0 END AS low,
+    CASE WHEN measure IN ('symbols', 'word_length') THEN q85 + 6 * greatest(q85 - q50, {width("q85")})
+      ELSE q99 + 6 * greatest(q99 - q85, {width("q99")}) END AS high
+  FROM quantiles),
 outside AS (
   SELECT DISTINCT doc_id FROM measured m
-  JOIN own o ON m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source AND m.measure = o.measure
-  JOIN by_lang l ON m.lang IS NOT DISTINCT FROM l.lang AND m.measure = l.measure
-  JOIN every e ON m.measure = e.measure
-  WHERE CASE WHEN o.rows >= 200 THEN m.value < o.low OR m.value > o.high
-    WHEN l.rows >= 200 THEN m.value < l.low OR m.value > l.high
-    ELSE m.value < e.low OR m.value > e.high END)
+  JOIN limits o ON m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source AND m.measure = o.measure
+  WHERE m.bucket < low OR m.bucket > high)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
 FROM judged

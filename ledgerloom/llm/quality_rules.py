@@ -3,11 +3,14 @@
 Measures of each text (symbols per word, repeated lines, repeated word runs, word length) are
 summed up in quantile sketches by language and source. A sketch is a table of counts by
 log-linear bucket: buckets are as wide as 1/32 of the value, so a quantile is off by at most
-that share, and sketches merge by adding counts, in any order, with the same result. A text is
-rejected if a measure lies outside the far fence of its language and source, that is over
-``FENCE`` interquartile ranges beyond a quartile, and beyond a tolerance that no text is
-rejected within. Groups with under ``MIN_ROWS`` rows use the merged sketch of
-their language, or of all rows.
+that share, and sketches merge by adding counts, in any order, with the same result.
+
+No limit is a fixed value. Each measure has ranks (``RANKS``): a limit lies ``FENCE`` times as far beyond the upper
+rank's quantile as that lies beyond the inner one's, or as a bucket is wide, as a sketch can't tell less; word length has limits on
+both sides. The distribution of a language and source is
+shrunk towards that of the language, and that towards the whole table's, as by ``PRIOR_ROWS`` rows more: a
+sparse group follows its language, a large one itself, and nothing jumps between. A text is rejected if
+a measure lies beyond a limit of its group.
 
 Only DataFrame operations. Three-word windows are compared by 64-bit hash within a text.
 
@@ -17,24 +20,27 @@ as a row of one task; an empty table gives an empty one. ``keep_good`` returns t
 names.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .names import columns, fresh
 from .scratch import stored
 
-FENCE = 3
-MIN_ROWS = 200
+FENCE = 6
+PRIOR_ROWS = 1000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Measures in thousandths, each with what is always tolerated: at least, at most. Repeats are
-#: tolerated to nearly half of a text: in a short one a single line said twice is a third.
-TOLERATED = {
-    "symbols": (0, 100),
-    "dup_lines": (0, 500),
-    "repeats": (0, 450),
-    "word_length": (3000, 10_000),
+#: Measures in thousandths: the upper and the inner rank in percent, and whether small values are judged too. Symbols
+#: and word length are near alike in most texts, so what a seventh has not is far out; lines and runs that repeat are
+#: rare in all texts, and only the last hundredth tells how often they are.
+RANKS = {
+    "symbols": (85, 50, False),
+    "dup_lines": (99, 85, False),
+    "repeats": (99, 85, False),
+    "word_length": (85, 50, True),
 }
+#: Shares of rows are whole numbers of this, so that they come out alike in any order of adding.
+WHOLE = 1_000_000
 BUCKET_BITS = 6
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -90,16 +96,19 @@ def text_counts(text: Column) -> Column:
     return F.struct(by_words.alias("words"), by_lines.alias("lines"), symbols.alias("n_symbols"))
 
 
+def bucket_width(value: Column) -> Column:
+    shift = F.greatest(F.lit(0), F.length(F.bin(value)) - BUCKET_BITS)
+    return F.expr("1L") * F.pow(F.lit(2), shift).cast("long")
+
+
 def bucket(value: Column) -> Column:
     """The largest value of the value's log-linear bucket."""
-    shift = F.greatest(F.lit(0), F.length(F.bin(value)) - BUCKET_BITS)
-    width = F.expr("1L") * F.pow(F.lit(2), shift).cast("long")
-    return value - value % width + width - 1
+    return value - value % bucket_width(value) + bucket_width(value) - 1
 
 
 def sketches(stats: DataFrame, groups: list[str]) -> DataFrame:
     """Counts by group, measure and bucket."""
-    measures = F.array(*(F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in TOLERATED))
+    measures = F.array(*(F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in RANKS))
     long = stats.select(*groups, F.inline(measures))
     return long.groupBy(*groups, "measure", "bucket").agg(F.count("*").alias("rows"))
 
@@ -108,42 +117,78 @@ def merged(sketch: DataFrame, groups: list[str]) -> DataFrame:
     return sketch.groupBy(*groups, "measure", "bucket").agg(F.sum("rows").alias("rows"))
 
 
-def fences(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """``rows``, and per measure the least and largest accepted value, as columns."""
-    ordered = Window.partitionBy(*groups, "measure").orderBy("bucket")
-    whole = Window.partitionBy(*groups, "measure")
-    ranked = sketch.withColumn("upto", F.sum("rows").over(ordered)).withColumn("total", F.sum("rows").over(whole))
+def counts_of(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """The sketch of each group and measure as an array in order of buckets; some hundred at most."""
+    return sketch.groupBy(*groups, "measure").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "rows"))).alias("counts"), F.sum("rows").alias("n")
+    )
+
 
-    def quartile(k: int) -> Column:
-        return F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("bucket")))
+def share_of(part: Column, whole: Column) -> Column:
+    return F.call_function("div", part, whole)
 
-    quartiles = ranked.groupBy(*groups, "measure").agg(F.max("total").alias("rows"), quartile(1).alias("q1"), quartile(3).alias("q3"))
-    spread = FENCE * (F.col("q3") - F.col("q1"))
-    columns = [F.max("rows").alias("rows")]
-    for measure, (least, most) in TOLERATED.items():
-        here = F.col("measure") == measure
-        columns.append(F.min(F.when(here, F.least(F.lit(least), F.col("q1") - spread))).alias(f"{measure}_least"))
-        columns.append(F.max(F.when(here, F.greatest(F.lit(most), F.col("q3") + spread))).alias(f"{measure}_most"))
-    return quartiles.groupBy(*groups).agg(*columns)
+
+def up_to(counts: Column, bucket_: Column) -> Column:
+    below = F.filter(counts, lambda c: c["bucket"] <= bucket_)
+    return F.aggregate(below, F.lit(0).cast("long"), lambda total, c: total + c["rows"])
+
+
+def curve(counts: Column, n: Column) -> Column:
+    """The share of rows up to each bucket."""
+    return F.transform(
+        counts, lambda c: F.struct(c["bucket"].alias("bucket"), share_of(up_to(counts, c["bucket"]) * WHOLE, n).alias("share"))
+    )
 
 
-def thresholds(stats: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row per ``lang`` and ``source``: the limits of each measure."""
+def shrunk(counts: Column, n: Column, towards: Column, prior_rows: int) -> Column:
+    """As ``curve``, with ``prior_rows`` rows of another curve added."""
+    return F.transform(
+        towards,
+        lambda t: F.struct(
+            t["bucket"].alias("bucket"),
+            share_of(up_to(counts, t["bucket"]) * WHOLE + t["share"] * prior_rows, n + prior_rows).alias("share"),
+        ),
+    )
+
+
+def quantile(curve_: Column, percent: int) -> Column:
+    return F.element_at(F.filter(curve_, lambda c: c["share"] >= percent * WHOLE // 100), 1)["bucket"]
+
+
+def limits_of(curve_: Column, measure: str) -> tuple[Column, Column]:
+    upper, inner, both = RANKS[measure]
+
+    def beyond(outer: int, middle: int) -> tuple[Column, Column]:
+        at = quantile(curve_, outer)
+        return at, FENCE * F.greatest(F.abs(at - quantile(curve_, middle)), bucket_width(at))
+
+    at, spread = beyond(upper, inner)
+    if not both:
+        return F.lit(0).cast("long"), at + spread
+    low, low_spread = beyond(100 - upper, 100 - inner)
+    return low - low_spread, at + spread
+
+
+def thresholds(stats: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
+    """One row per ``lang`` and ``source``: the limits of each measure, in values of buckets."""
     own = stored(sketches(stats, ["lang", "source"]), "sketches")
     by_lang = merged(own, ["lang"])
-    limits = [f"{m}_{side}" for m in TOLERATED for side in ("least", "most")]
-    group = fences(own, ["lang", "source"])
-    lang = fences(by_lang, ["lang"]).select(F.col("lang").alias("_lang"), *(F.col(c).alias(f"l_{c}") for c in ["rows", *limits]))
-    every = fences(merged(by_lang, []).withColumn("all", F.lit(1)), ["all"]).select(*(F.col(c).alias(f"a_{c}") for c in limits), F.lit(1).alias("_one"))
-    wide = group.join(lang, F.col("lang").eqNullSafe(F.col("_lang"))).withColumn("_one", F.lit(1)).join(every, "_one")
-    return wide.select(
-        "lang",
-        "source",
-        *(
-            F.when(F.col("rows") >= min_rows, F.col(c)).when(F.col("l_rows") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")).alias(c)
-            for c in limits
-        ),
+    every = counts_of(merged(by_lang, []), []).select("measure", curve(F.col("counts"), F.col("n")).alias("every"))
+    lang = counts_of(by_lang, ["lang"]).join(every, "measure").select(
+        F.col("lang").alias("_lang"),
+        F.col("measure").alias("_measure"),
+        shrunk(F.col("counts"), F.col("n"), F.col("every"), prior_rows).alias("towards"),
     )
+    lang = stored(lang, "curves")
+    groups = counts_of(own, ["lang", "source"])
+    met = groups.join(lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_measure")))
+    met = met.withColumn("curve", shrunk(F.col("counts"), F.col("n"), F.col("towards"), prior_rows))
+    columns = []
+    for measure in RANKS:
+        here = F.col("measure") == measure
+        least, most = limits_of(F.col("curve"), measure)
+        columns += [F.min(F.when(here, least)).alias(f"{measure}_least"), F.max(F.when(here, most)).alias(f"{measure}_most")]
+    return met.groupBy("lang", "source").agg(*columns)
 
 
 def quality_verdicts(
@@ -152,7 +197,7 @@ def quality_verdicts(
     text_column: str = "text",
     lang_column: str = "lang",
     source_column: str = "source",
-    min_rows: int = MIN_ROWS,
+    prior_rows: int = PRIOR_ROWS,
 ) -> DataFrame:
     """One row per document: its id, ``text_hash``, ``lang``, ``source``, the ``COUNTS``, ``base_failed`` and ``kept``."""
     counted = docs.select(
@@ -180,11 +225,11 @@ def quality_verdicts(
         ),
         "counts",
     )
-    limits = thresholds(stats.where("not base_failed"), min_rows)
+    limits = thresholds(stats.where("not base_failed"), prior_rows)
     limits = stored(limits.withColumnsRenamed({"lang": "_lang", "source": "_source"}), "thresholds")
     inside = F.lit(True)
-    for measure in TOLERATED:
-        inside &= F.col(measure).between(F.col(f"{measure}_least"), F.col(f"{measure}_most"))
+    for measure in RANKS:
+        inside &= bucket(F.col(measure)).between(F.col(f"{measure}_least"), F.col(f"{measure}_most"))
     on = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     judged = stats.join(limits, on, "left")
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.quality_rules import TOLERATED, bucket, fences, keep_good, merged, quality_verdicts, sketches, text_counts
+from ledgerloom.llm.quality_rules import FENCE, RANKS, bucket, keep_good, merged, quality_verdicts, sketches, text_counts, thresholds
 from tests.llm.data import STRANGE, nothing, plain, strange, words
 
 SPACED = re.compile("[^\x20\x09-\x0d]+")
@@ -51,31 +51,68 @@ def test_buckets(spark):
 
 
 def test_sketches_merge(spark):
-    """Sketches of parts add up to the sketch of the whole, and quartiles are near the true ones."""
+    """Sketches of parts add up to the sketch of the whole."""
     rng = random.Random(1)
     values = [int(rng.lognormvariate(6, 1)) for _ in range(3000)]
     df = spark.createDataFrame([(v % 3, v, v, v, v) for v in values], "part int, symbols long, dup_lines long, repeats long, word_length long")
     parts = sketches(df, ["part"])
     assert plain(merged(parts, []).collect()) == plain(sketches(df, []).select("measure", "bucket", "rows").collect())
-    row = fences(merged(parts, []).withColumn("one", F.lit(1)), ["one"]).first()
-    values.sort()
-    q1, q3 = values[749], values[2249]
-    assert row.rows == 3000
-    assert row.symbols_most == pytest.approx(max(TOLERATED["symbols"][1], q3 + 3 * (q3 - q1)), rel=0.15)
+
+
+def plain_bucket(v):
+    width = 1 << max(0, v.bit_length() - 6)
+    return v - v % width + width - 1
+
+
+def plain_limits(rows, prior):
+    """Limits by loops over all buckets, for (lang, source, value) of one value for all measures."""
+    buckets = sorted({plain_bucket(v) for _, _, v in rows})
+
+    def curve(values, towards=None):
+        counts = [sum(plain_bucket(v) <= b for v in values) * 1_000_000 for b in buckets]
+        if towards is None:
+            return [c // len(values) for c in counts]
+        return [(c + t * prior) // (len(values) + prior) for c, t in zip(counts, towards)]
+
+    every, out = curve([v for *_, v in rows]), {}
+    for lang, source in {(lang, source) for lang, source, _ in rows}:
+        towards = curve([v for a, _, v in rows if a == lang], every)
+        own = curve([v for a, b, v in rows if (a, b) == (lang, source)], towards)
+        q = {p: next(b for b, c in zip(buckets, own) if c >= p * 10_000) for p in (15, 50, 85, 99)}
+        wide = {p: max(1, 1 << max(0, b.bit_length() - 6)) for p, b in q.items()}
+        for measure, (upper, inner, both) in RANKS.items():
+            low = q[15] - FENCE * max(q[50] - q[15], wide[15]) if both else 0
+            out[lang, source, measure] = (low, q[upper] + FENCE * max(q[upper] - q[inner], wide[upper]))
+    return out
+
+
+@pytest.mark.parametrize("prior", [0, 20, 1000])
+def test_limits_against_loops(spark, prior):
+    rng = random.Random(prior)
+    rows = []
+    for lang, source, n, mean in (("de", "law", 300, 7), ("de", None, 3, 9), ("en", "web", 200, 5), (None, "web", 40, 5), ("en", "new", 1, 8)):
+        rows += [(lang, source, int(rng.lognormvariate(mean, 0.4))) for _ in range(n)]
+    df = spark.createDataFrame(rows, "lang string, source string, symbols long").repartition(3)
+    df = df.withColumns({m: F.col("symbols") for m in RANKS})
+    want = plain_limits(rows, prior)
+    got = {(r.lang, r.source, m): (r[f"{m}_least"], r[f"{m}_most"]) for r in thresholds(df, prior).collect() for m in RANKS}
+    assert got == want
+    assert len({got[k] for k in got if k[2] == "word_length"}) > 2  # groups have limits of their own
 
 
 def test_thresholds_follow_the_group(spark):
-    """Long words are normal in one source and not in another; sparse groups follow their language."""
-    long, short = ["rindfleischetikettierung", "donaudampfschifffahrt"] * 2, ["ab", "cdef", "ghi", "jklm", "nopqr"]
-    rows = [(i, words(i, 60, long + [f"w{i}x{j}" * 3 for j in range(30)]), "de", "law") for i in range(60)]
-    rows += [(100 + i, words(i, 60, [f"{s}{i}{j}" for s in short for j in range(20)]), "en", "web") for i in range(60)]
-    rows += [(200, words(1, 60, [f"v{j}" * 9 for j in range(60)]), "en", "web"), (201, words(1, 60, [f"v{j}" * 9 for j in range(60)]), "en", "rare")]
-    rows += [(202, words(3, 60, [f"%#{j}" for j in range(60)]), "en", "web")]
+    """Long words are normal in one source and not in another, which is stricter; sparse groups follow their language."""
+    rng = random.Random(0)
+    rows = [(i, " ".join("w" * rng.randrange(18, 24) + str(j) for j in range(60)), "de", "law") for i in range(400)]
+    rows += [(1000 + i, " ".join("v" * rng.randrange(3, 7) + str(j) for j in range(60)), "en", "web") for i in range(400)]
+    long = " ".join("v" * 19 + str(j) for j in range(60))
+    rows += [(2000, long, "en", "web"), (2001, long, "en", "rare"), (2003, long, "de", "rare")]
+    rows += [(2002, " ".join(f"%#vv{j}" for j in range(60)), "en", "web")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r for r in quality_verdicts(docs, min_rows=20).collect()}
-    assert all(got[i].kept for i in range(60)), "long words are usual in this source"
-    assert all(got[100 + i].kept for i in range(60))
-    assert not got[200].kept and not got[201].kept and not got[202].kept
+    got = {r.doc_id: r for r in quality_verdicts(docs, prior_rows=20).collect()}
+    assert all(r.kept for i, r in got.items() if i < 2000)
+    assert got[2003].kept, "long words are usual in its language"
+    assert not got[2000].kept and not got[2001].kept and not got[2002].kept
     assert not any(r.base_failed for r in got.values())
 
 
