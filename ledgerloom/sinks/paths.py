@@ -59,15 +59,22 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 
 
 def replace_file(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file over another in one step: readers find the old one or the new one."""
+    """Rename a file over another in one step: readers find the old one or the new one. On a local
+    disk the plain rename does that; the checksums beside both files go first, as they could not follow in the same step."""
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    target_path = jvm.org.apache.hadoop.fs.Path(target)
+    fs, target_path = file_system(spark, target)
+    if fs.getScheme() == "file":
+        raw = fs.getRawFileSystem()
+        for path in (source, target):
+            folder, name = path.rsplit("/", 1)
+            raw.delete(jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.crc"), False)
+        if not raw.rename(jvm.org.apache.hadoop.fs.Path(source), target_path):
+            raise OSError(f"could not rename {source} to {target}")
+        return
     rename_option = jvm.org.apache.hadoop.fs.Options.Rename
     options = gateway.new_array(rename_option, 1)
     options[0] = rename_option.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        file_system(spark, target)[0].getUri(), spark._jsc.hadoopConfiguration()
-    )
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     context.rename(jvm.org.apache.hadoop.fs.Path(source), target_path, options)
 
 

@@ -32,8 +32,9 @@ def published_path(dest: str, dataset_id: str) -> str:
 def publish_one(df: DataFrame, dataset_id: str, dest: str, file_rows: int) -> None:
     """Write beside the target, look at the result, then put it in place.
 
-    The old file is moved aside, and deleted when the new one is in place: after a crash in
-    between, one of the two is there to be found. Readers may miss it for that moment.
+    A single file takes the place of the old one in one rename: readers find either. An old folder
+    is moved aside, and deleted when the new one is in place: after a crash in between, one of the two
+    is there to be found. Readers may miss it for that moment.
     """
     spark = df.sparkSession
     spec = DATASETS[dataset_id].report
@@ -50,13 +51,16 @@ def publish_one(df: DataFrame, dataset_id: str, dest: str, file_rows: int) -> No
     written = paths.part_files(spark, staged, ".csv")
     if not written:
         raise OSError(f"nothing written to {staged}")
+    if spec.one_file:
+        paths.replace_file(spark, f"{staged}/{written[0]}", target)
+        paths.delete(spark, staged)
+        return
     aside = f"{dest}/_replaced/{DATASETS[dataset_id].file_stem}.csv"
     if paths.exists(spark, target):
         paths.delete(spark, aside)
         paths.make_folder(spark, f"{dest}/_replaced")
         paths.rename(spark, target, aside)
-    paths.rename(spark, f"{staged}/{written[0]}" if spec.one_file else staged, target)
-    paths.delete(spark, staged)
+    paths.rename(spark, staged, target)
     paths.delete(spark, aside)
 
 

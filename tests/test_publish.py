@@ -1,5 +1,7 @@
 import csv
 import datetime
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -216,3 +218,27 @@ def test_stored_types(spark, tmp_path):
     stored = spark.read.parquet(parquet_path(f"{tmp_path}/w", "daily_summary"))
     types = dict(stored.dtypes)
     assert types["ds"] == "date" and types["total_revenue_vnd"] == "bigint"
+
+
+def test_readers_never_miss_a_file(spark, tmp_path):
+    """A reader that looks all the time finds the old file or the new one, whole."""
+    columns = DATASETS["weekday_vs_weekend"].report.columns
+    target, seen, done = tmp_path / "out" / "weekday_vs_weekend.csv", set(), threading.Event()
+
+    def table(n):
+        return spark.range(n, n + 2).select(*(F.col("id").alias(c) for c in columns))
+
+    def look():
+        while not done.is_set():
+            seen.add(target.read_text())
+
+    store(spark, tmp_path, table(0), "weekday_vs_weekend")
+    publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["weekday_vs_weekend"])
+    with ThreadPoolExecutor(1) as pool:
+        reader = pool.submit(look)
+        for n in range(1, 6):
+            store(spark, tmp_path, table(n), "weekday_vs_weekend")
+            publish(spark, f"{tmp_path}/warehouse", f"{tmp_path}/out", ["weekday_vs_weekend"])
+        done.set()
+        reader.result()
+    assert 1 < len(seen) <= 6 and all(text.count("\n") == 3 for text in seen)
