@@ -14,11 +14,11 @@ from .resampling import resampling_plan
 from .sampling import held_out
 from .sharding import shard_plan
 from .simhash import as_hex, simhash_components
-from .site_quality import site_quality
+from .site_quality import page_text, site_quality, with_site
 from .tool_calls import link_tool_calls
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -160,9 +160,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have no address; their source stands for the host, the language for the path."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
-    return site_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    """Documents and pages as one table of texts. Documents have no address: their source stands for the host, the
+    language for the path. Pages have one, and numbers below zero in the joint table, so that no label is theirs."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    pages = with_site(table(spark, sf_dir, "pages", "page_id", "url", "html"), "url")
+    pages = pages.select((-1 - F.col("page_id")).alias("doc_id"), page_text(F.col("html")).alias("text"), "host", "path")
+    found = site_quality(docs.union(pages), table(spark, sf_dir, "labels", "doc_id", "quality"), host_column="host", path_column="path")
+    is_page = F.col("doc_id") < 0
+    return found.withColumns(
+        {
+            "kind": F.when(is_page, "page").otherwise("document"),
+            "doc_id": F.when(~is_page, F.col("doc_id")),
+            "page_id": F.when(is_page, -1 - F.col("doc_id")),
+        }
+    )
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,6 +89,22 @@ def strength(sites: DataFrame, parent: Column) -> float:
     return float(min(max(1 / r - 1, STRENGTH[0]), STRENGTH[1])) if r > 0 else STRENGTH[1]
 
 
+def with_site(docs: DataFrame, url_column: str, host_column: str = "host", path_column: str = "path", levels: int = 1) -> DataFrame:
+    """``docs`` with the host of an address and the first ``levels`` folders of its path; null where it is
+    none. What stands behind those folders (a page's own name, a query) names no site."""
+    url = F.trim(F.col(url_column))
+    folders = F.split(F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), "^/+", ""), "/+")
+    # the last part is the page itself
+    path = F.array_join(F.slice(folders, F.lit(1), F.least(F.lit(levels), F.size(folders) - 1)), "/")
+    return docs.withColumns({host_column: F.lower(F.try_parse_url(url, F.lit("HOST"))), path_column: path})
+
+
+def page_text(html: Column) -> Column:
+    """What a page shows, without scripts, styles, comments and tags."""
+    shown = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    return F.regexp_replace(F.regexp_replace(shown, r"(?i)</(p|h[1-6]|li|div)>|<br\s*/?>", "\n"), r"<[^>]*>", " ")
+
+
 def site_quality(
     docs: DataFrame,
     labels: DataFrame,
