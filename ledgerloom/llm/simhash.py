@@ -82,7 +82,9 @@ def link_fingerprints(fps: DataFrame, max_bits: int) -> DataFrame:
     wide, narrow = (max_bits + 1) // 2, max_bits // 2
     masks = [sum(1 << i for i in c) for k in range(wide + 1) for c in combinations(range(64), k)]
     n_narrow = sum(comb(64, k) for k in range(narrow + 1))
-    variants = fps.select(
+    # a narrow table has few partitions, and each row becomes many: it is spread first
+    spread = fps.repartition(split_count(fps, len(masks)), "fp")
+    variants = spread.select(
         "fp", F.posexplode(F.array(*(F.lit(signed(m)) for m in masks))).alias("k", "mask")
     ).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), (F.col("k") < n_narrow).alias("near"))
     centre = F.min(F.when(F.col("near"), F.col("fp"))).over(Window.partitionBy("variant"))
@@ -94,6 +96,15 @@ def link_fingerprints(fps: DataFrame, max_bits: int) -> DataFrame:
     )
 
 
+#: About the most variants that one task emits.
+ROWS_PER_TASK = 1 << 20
+
+
+def split_count(fps: DataFrame, n_masks: int) -> int:
+    """Partitions for the fingerprints, counted, so that none makes many more than ``ROWS_PER_TASK`` variants."""
+    return max(1, -(-fps.count() * n_masks // ROWS_PER_TASK))
+
+
 def simhash_components(
     docs: DataFrame,
     id_column: str = "doc_id",

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import simhash
 from ledgerloom.llm.components import components
 from ledgerloom.llm.simhash import as_hex, fingerprint, keep_one_per_component, link_fingerprints, simhash_components
 from tests.llm.data import STRANGE, nothing, strange, words
@@ -116,6 +117,14 @@ def test_the_same_survivor_in_any_order(spark):
     assert len(kept[0]) == 1 and kept[0][0][0] == 1 and all(k == kept[0] for k in kept)
 
 
+def test_variants_are_spread_over_tasks(spark, monkeypatch):
+    fps = spark.range(2000).select(F.xxhash64("id").alias("fp")).coalesce(1)
+    monkeypatch.setattr(simhash, "ROWS_PER_TASK", 10_000)
+    assert simhash.split_count(fps, 65) == 13
+    text = link_fingerprints(fps, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(fp" in text and ", 13)" in text
+
+
 def test_near_copies_fall_together(spark):
     text = words(3, 4000)
     docs = spark.createDataFrame([(5, text), (2, text + " end"), (9, words(4, 4000)), (1, words(5, 4000))], "doc_id long, text string")
