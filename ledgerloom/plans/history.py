@@ -131,7 +131,7 @@ def keep_days(spark: SparkSession, made: DataFrame, path: str, days: list[str])
 
 
 def forget_days(spark: SparkSession, path: str, days: list[str]) -> None:
-    for day in days:
+    for day in days if days and paths.exists(spark, path) else ():
         paths.delete(spark, f"{path}/ds={day}")
 
 
