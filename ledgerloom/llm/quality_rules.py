@@ -68,8 +68,8 @@ def repeat_words(words: Column) -> Column:
         return F.aggregate(each, F.lit(0).cast("long"), lambda total, n: total + n)
 
     starts = F.sequence(F.lit(0), F.size(words) - 3)
-    windows = F.array_sort(F.transform(starts, lambda i: F.struct(window_hash(i).alias("hash"), i.alias("at"))))
-    at = let(windows, lambda w: F.array_sort(F.transform(repeated(w), lambda x: x["at"])))
+    windows = F.sort_array(F.transform(starts, lambda i: F.struct(window_hash(i).alias("hash"), i.alias("at"))))
+    at = let(windows, lambda w: F.sort_array(F.transform(repeated(w), lambda x: x["at"])))
     return F.when(F.size(words) >= 3, let(at, covered)).otherwise(F.lit(0).cast("long"))
 
 
