@@ -11,6 +11,7 @@ from ledgerloom.fixtures import (
     constant_rate,
     noon_rates,
     raw_from_events,
+    table,
     transactions_from_lineitem,
 )
 from ledgerloom.operators.clean import (
@@ -23,6 +24,7 @@ from ledgerloom.operators.clean import (
 from ledgerloom.operators.fx import with_amount_vnd
 from ledgerloom.operators.grains import GRAINS, LatestBounds, latest_bounds_frame
 from ledgerloom.plans import DATASETS, REPORTS, Dataset, build_reports, report
+from ledgerloom.plans.catalog import SPREAD
 from ledgerloom.plans.history import kept_rollups
 from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
 from ledgerloom.schema import RAW_FIELDS
@@ -51,6 +53,11 @@ def comparable(clean: DataFrame) -> DataFrame:
     return clean.select(*COLUMNS).withColumn("amount_usd", F.col("amount_usd").cast("double"))
 
 
+def facts(spark: SparkSession, sf_dir: str, name: str) -> int | None:
+    """About as many as there are transactions, for reports that ask; only the ends of files are read."""
+    return table(spark, sf_dir, "lineitem").count() if name in SPREAD else None
+
+
 def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
@@ -58,7 +65,7 @@ def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
         if dataset.report.high_value:
             # over the amount alone, or each quantile scan would carry the report's joins
             limit = high_value_threshold(transactions_from_lineitem(spark, sf_dir, ["amount_vnd"]), threshold)
-        return report(df, dataset.report.name, dataset.grain, threshold=limit)
+        return report(df, dataset.report.name, dataset.grain, threshold=limit, row_count=facts(spark, sf_dir, dataset.report.name))
 
     return run
 
@@ -69,7 +76,7 @@ def shared_query(dataset: Dataset) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir)
         grains = [dataset.grain] if dataset.grain else None
-        built = build_reports(df, scratch_dir(spark, "rollups"), [dataset.report.name], grains)
+        built = build_reports(df, scratch_dir(spark, "rollups"), [dataset.report.name], grains, row_count=facts(spark, sf_dir, dataset.report.name))
         return built[dataset.id]
 
     return run

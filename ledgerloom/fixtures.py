@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import to_vnd
+from ledgerloom.plans.spread import partitions
 
 RATE = 25380
 MAX_BROADCAST_MERCHANTS = 100_000
@@ -70,9 +71,12 @@ def transactions_from_lineitem(
     df = table(spark, sf_dir, "lineitem")
     if "user_id" in wanted:
         # Orders grow with the facts, so they are never worth broadcasting; the
-        # shuffle also spreads facts that were stored as a single row group.
-        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        # shuffle also spreads facts that were stored as a single row group. Tasks are
+        # as many as the facts fill, so that what one sorts does not grow with them.
+        n = partitions(df, None)
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        orders = orders.repartition(n, "o_orderkey").hint("merge")
+        df = df.repartition(n, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if MERCHANT_COLUMNS & set(wanted):
         df = df.join(merchants(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     hour = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24

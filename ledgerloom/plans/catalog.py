@@ -15,6 +15,41 @@ TOTAL = "sum(amount_vnd)"
 AVERAGE = "try_divide(sum(amount_vnd), count(amount_vnd))"
 
 
+#: What is added up of each user and day; with the distinct counts of ``plans/spread.py`` it is a rollup.
+DAY_MEASURES = {
+    "n": COUNT,
+    "total": TOTAL,
+    "amounts": "count(amount_vnd)",
+    "largest": "max(amount_vnd)",
+    "smallest": "min(amount_vnd)",
+    "errors": f"count_if({ERROR})",
+    "frauds": f"count_if({FRAUD})",
+}
+#: Reports made of these measures and distinct counts, by the columns that they take from them.
+SPREAD = {
+    "user_analysis": {
+        "transaction_count": "n",
+        "total_spent_vnd": "total",
+        "avg_transaction_vnd": "try_divide(total, amounts)",
+        "unique_merchants": "merchants",
+        "unique_cities": "cities",
+        "error_count": "errors",
+    },
+    "daily_summary": {
+        "total_transactions": "n",
+        "total_revenue_vnd": "total",
+        "avg_transaction_vnd": "try_divide(total, amounts)",
+        "unique_users": "users",
+        "unique_merchants": "merchants",
+        "unique_cities": "cities",
+        "error_transactions": "errors",
+        "fraud_transactions": "frauds",
+        "max_transaction_vnd": "largest",
+        "min_transaction_vnd": "smallest",
+    },
+}
+
+
 @dataclass(frozen=True)
 class Report:
     """One report family.

@@ -1,12 +1,15 @@
 """One report as one lazy query over the clean transactions."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import day_type, hour_of_day, percent
 from ledgerloom.operators.grains import LatestBounds
 from ledgerloom.operators.quantile import approximate_quantile, exact_quantile
-from ledgerloom.plans.catalog import REPORTS, Report
+from ledgerloom.plans.catalog import DAY_MEASURES, REPORTS, SPREAD, Report
+from ledgerloom.plans.spread import day_totals, user_days
 
 HIGH_VALUE_SHARE = 0.95
 
@@ -57,11 +60,13 @@ def report(
     bounds: LatestBounds | None = None,
     threshold: int | str | None = "exact",
     sort: bool = True,
+    row_count: int | None = None,
 ) -> DataFrame:
     """Report ``name`` over ``df``, at ``grain`` for the families that have one.
 
     ``bounds`` and ``threshold`` are looked up in ``df`` unless given;
     ``threshold`` is a value, or the mode to find it: ``exact`` or ``approx``.
+    ``row_count`` is about how many rows ``df`` has; where it matters they are counted unless given.
     """
     spec = REPORTS[name]
     if spec.by_grain != (grain is not None):
@@ -75,6 +80,8 @@ def report(
         if isinstance(threshold, str):
             threshold = high_value_threshold(df, threshold)
         rows = rows.where(is_high_value(threshold))
+    if name in SPREAD:
+        return finish(spread_report(rows, spec, row_count), spec, sort)
     rows = with_derived_keys(rows, spec.first_keys or spec.keys)
     if spec.first_measures:
         rows = rows.groupBy(*spec.first_keys).agg(*aggregates(spec.first_measures))
@@ -83,6 +90,12 @@ def report(
     return finish(rows.groupBy(*spec.keys).agg(*aggregates(spec.measures)), spec, sort)
 
 
+def spread_report(df: DataFrame, spec: Report, row_count: int | None) -> DataFrame:
+    measures = {m: sql for m, sql in DAY_MEASURES.items() if any(m in re.findall(r"\w+", c) for c in SPREAD[spec.name].values())}
+    made = (user_days if "user_id" in spec.keys else day_totals)(df.select(*spec.reads), measures, row_count)
+    return made.select(*spec.keys, *aggregates(SPREAD[spec.name]))
+
+
 def top(result: DataFrame, name: str, k: int) -> DataFrame:
     """O2: the first ``k`` rows of a report in its own order."""
     return result.orderBy(*sort_columns(REPORTS[name])).limit(k)

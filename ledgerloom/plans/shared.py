@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.grains import GRAINS, LatestBounds
-from ledgerloom.plans.catalog import ERROR, FRAUD, Dataset, select_datasets
+from ledgerloom.plans.catalog import DAY_MEASURES, ERROR, FRAUD, SPREAD, Dataset, select_datasets
 from ledgerloom.plans.reports import (
     aggregates,
     finish,
@@ -28,6 +28,7 @@ from ledgerloom.plans.reports import (
     report,
     with_derived_keys,
 )
+from ledgerloom.plans.spread import user_days
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,8 @@ class Derived:
     where: str | None = None
 
 
+BY_USER_DAY = "by_user_day"
+
 ROLLUPS = {
     r.name: r
     for r in (
@@ -86,18 +89,8 @@ ROLLUPS = {
             latest=True, high_value=True,
         ),
         Rollup(
-            "by_user_day", ("ds", "user_id"),
-            {
-                "n": "count(*)",
-                "total": "sum(amount_vnd)",
-                "amounts": "count(amount_vnd)",
-                "largest": "max(amount_vnd)",
-                "smallest": "min(amount_vnd)",
-                "errors": f"count_if({ERROR})",
-                "frauds": f"count_if({FRAUD})",
-                "merchants": "count(DISTINCT merchant_name)",
-                "cities": "count(DISTINCT merchant_city)",
-            },
+            BY_USER_DAY, ("ds", "user_id"),
+            {**DAY_MEASURES, "merchants": "count(DISTINCT merchant_name)", "cities": "count(DISTINCT merchant_city)"},
         ),
         Rollup(
             "by_merchant_day", ("ds", "merchant_name", "merchant_city"),
@@ -155,17 +148,7 @@ DERIVED = {
     "high_value_analysis": Derived(
         "latest_high_value", {"high_value_count": "n", "max_amount_vnd": "largest"}
     ),
-    "user_analysis": Derived(
-        "by_user_day",
-        {
-            "transaction_count": "n",
-            "total_spent_vnd": "total",
-            "avg_transaction_vnd": "try_divide(total, amounts)",
-            "unique_merchants": "merchants",
-            "unique_cities": "cities",
-            "error_count": "errors",
-        },
-    ),
+    "user_analysis": Derived("by_user_day", SPREAD["user_analysis"]),
     "fraud_rate_by_merchant": Derived(
         "by_merchant_day",
         {"total_transactions": "sum(n)", "fraud_transactions": "sum(frauds)"},
@@ -190,13 +173,14 @@ def build_reports(
     failures: dict[str, Exception] | None = None,
     bounds: LatestBounds | None = None,
     kept: dict[str, DataFrame] | None = None,
+    row_count: int | None = None,
 ) -> dict[str, DataFrame]:
     """The chosen datasets by id, each reading rollups stored below ``scratch``.
 
     The rollups are written here, ``parallel`` at a time; the returned frames are
     lazy and need ``scratch`` until they have been written. With ``failures``, a rollup
     that fails is no error: its datasets are left out and noted there. ``kept`` are rollups
-    that need not be computed.
+    that need not be computed. ``row_count`` is about how many rows ``df`` has.
     """
     spark, kept = df.sparkSession, kept or {}
     chosen = select_datasets(names, grains)
@@ -223,7 +207,7 @@ def build_reports(
             rollup, limit = ROLLUPS[name], threshold
             if rollup.high_value and isinstance(limit, str):
                 limit = high_value_threshold(df, limit)
-            result = roll_up(df, rollup, bounds, wanted_grains, limit)
+            result = roll_up(df, rollup, bounds, wanted_grains, limit, row_count)
         result.write.mode("overwrite").parquet(f"{scratch}/{name}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -245,7 +229,10 @@ def roll_up(
     bounds: LatestBounds | None,
     grains: tuple[str, ...],
     threshold: int | None,
+    row_count: int | None = None,
 ) -> DataFrame:
+    if rollup.name == BY_USER_DAY:
+        return user_days(df, DAY_MEASURES, row_count)
     rows, keys = df, rollup.keys
     if rollup.latest:
         # The last grain is the widest and contains the others.
