@@ -17,8 +17,10 @@ Reports of the latest day, month and year are made of states of single days too:
 So a daily run reads the days that were touched since the last one, and no others.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,8 @@ SETS, SLICES, TAIL = "customer_sets_by_day", "amount_slices_by_day", "tail_by_da
 DAY_STATES = (*MERGED, SETS, SLICES)
 #: Amounts from this share of all rows on are kept by value.
 TAIL_SHARE = 0.9
+#: States that are made at a time.
+PARALLEL = 4
 TAIL_KEYS = ROLLUPS["latest_high_value"].keys
 
 
@@ -110,11 +114,16 @@ def update_history(spark: SparkSession, lake: str, store: str) -> list[date]:
     known = spark.read.parquet(state) if paths.exists(spark, state) else now.limit(0)
     touched, gone = changed_days(now, known)
     days = [date.fromisoformat(day) for day in touched]
-    for name in (*KEPT, *DAY_STATES):
+
+    @inheritable_thread_target(spark)
+    def keep(name: str) -> None:
         if touched:
             rows = read_clean(spark, lake).where(F.col("ds").isin(days))
             keep_days(spark, day_state(name, rows), f"{store}/{name}", touched)
         forget_days(spark, f"{store}/{name}", gone)
+
+    with ThreadPoolExecutor(max_workers=PARALLEL) as pool:
+        list(pool.map(keep, (*KEPT, *DAY_STATES)))  # a failure is raised when the others have ended
     if touched or gone:
         update_tail(spark, lake, store, touched, gone)
     if touched or gone:
@@ -219,7 +228,12 @@ def kept_rollups(spark: SparkSession, store: str, scratch: str, bounds: LatestBo
     """Everything that ``build_reports`` reads, out of what is kept. Merged rollups are stored below
     ``scratch``, as several reports read each."""
     kept = {name: kept_rollup(spark, store, name) for name in KEPT}
-    for name, merged in merged_rollups(spark, store, bounds).items():
-        merged.write.mode("overwrite").parquet(f"{scratch}/{name}")
-        kept[name] = spark.read.parquet(f"{scratch}/{name}")
-    return kept
+    merged = merged_rollups(spark, store, bounds)
+
+    @inheritable_thread_target(spark)
+    def write(name: str) -> None:
+        merged[name].write.mode("overwrite").parquet(f"{scratch}/{name}")
+
+    with ThreadPoolExecutor(max_workers=PARALLEL) as pool:
+        list(pool.map(write, merged))
+    return kept | {name: spark.read.parquet(f"{scratch}/{name}") for name in merged}

@@ -1,13 +1,16 @@
 """Aggregates that shuffle before they group, and what reads a stored table."""
 
 import re
+import threading
 
 import pytest
 
+from ledgerloom import jobs
 from ledgerloom.fixtures import transactions_from_lineitem
-from ledgerloom.plans import report, spread
+from ledgerloom.plans import history, report, spread
 from ledgerloom.plans.shared import BY_USER_DAY, ROLLUPS, roll_up
 from tests.data import as_set, expected, frame, records
+from tests.test_ingest import clean, raw
 from tests.test_plans import plan
 
 
@@ -32,3 +35,17 @@ def test_facts_are_joined_in_as_many_tasks_as_they_fill(spark, monkeypatch):
     text = plan(transactions_from_lineitem(spark, "/root/testdata/sf0.001", ["user_id", "ds"]))
     n = -(-spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() // 1000)
     assert "hashpartitioning(l_orderkey" in text and text.count(f", {n})") >= 2
+
+
+def test_states_of_days_are_made_at_the_same_time(spark, tmp_path, monkeypatch):
+    lake, store = str(tmp_path / "lake"), str(tmp_path / "store")
+    jobs.store_batch_records(clean(spark, [raw(), raw(Day="2")]), lake, "one")
+    both, real = threading.Barrier(2, timeout=60), history.keep_days
+
+    def keep_days(session, made, path, days):
+        if path.endswith(("by_user_day", "by_merchant_day")) and "flags" not in path:
+            both.wait()
+        real(session, made, path, days)
+
+    monkeypatch.setattr(history, "keep_days", keep_days)
+    assert len(history.update_history(spark, lake, store)) == 2
