@@ -27,6 +27,7 @@ from ledgerloom.plans import DATASETS, REPORTS, Dataset, build_reports, report
 from ledgerloom.plans.catalog import SPREAD
 from ledgerloom.plans.history import kept_rollups
 from ledgerloom.plans.reports import high_value_threshold, is_high_value, top
+from ledgerloom.plans.shared import SOURCES
 from ledgerloom.schema import RAW_FIELDS
 from ledgerloom.session import scratch_dir
 from ledgerloom.sinks.manifests import batch_counts as read_batch_counts
@@ -58,6 +59,14 @@ def facts(spark: SparkSession, sf_dir: str, name: str) -> int | None:
     return table(spark, sf_dir, "lineitem").count() if name in SPREAD else None
 
 
+def stored(transactions: DataFrame) -> DataFrame:
+    """Transactions as a table of their own, as a lake has them: what reads them several times
+    joins once."""
+    path = scratch_dir(transactions.sparkSession, "clean")
+    transactions.write.parquet(path)
+    return transactions.sparkSession.read.parquet(path)
+
+
 def dataset_query(dataset: Dataset, threshold: str = "exact") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir, dataset.report.reads)
@@ -75,6 +84,8 @@ def shared_query(dataset: Dataset) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = transactions_from_lineitem(spark, sf_dir)
+        if len(SOURCES[dataset.report.name]) > 1:
+            df = stored(df.select(*dataset.report.reads))
         grains = [dataset.grain] if dataset.grain else None
         built = build_reports(df, scratch_dir(spark, "rollups"), [dataset.report.name], grains, row_count=facts(spark, sf_dir, dataset.report.name))
         return built[dataset.id]
@@ -144,7 +155,7 @@ def stored_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run over all datasets, up to the verification of its files."""
     scratch = scratch_dir(spark, "daily")
-    df = transactions_from_lineitem(spark, sf_dir)
+    df = stored(transactions_from_lineitem(spark, sf_dir))
     return jobs.run_daily(spark, df, f"{scratch}/warehouse", f"{scratch}/published")
 
 

@@ -5,6 +5,7 @@ import threading
 
 import pytest
 
+from checks import queries
 from ledgerloom import jobs
 from ledgerloom.fixtures import transactions_from_lineitem
 from ledgerloom.plans import history, report, spread
@@ -37,6 +38,20 @@ def test_facts_are_joined_in_as_many_tasks_as_they_fill(spark, monkeypatch):
     assert "hashpartitioning(l_orderkey" in text and text.count(f", {n})") >= 2
 
 
+@pytest.mark.parametrize("name", ["shared_daily_summary", "published_files"])
+def test_what_reads_transactions_several_times_joins_once(spark, monkeypatch, name):
+    seen = []
+
+    def noted(*args, **kwargs):
+        seen.append(args[1] if name == "published_files" else args[0])
+        raise InterruptedError
+
+    monkeypatch.setattr(*((jobs, "run_daily") if name == "published_files" else (queries, "build_reports")), noted)
+    with pytest.raises(InterruptedError):
+        queries.registered()[name](spark, "/root/testdata/sf0.001")
+    assert "Join" not in plan(seen[0]) and seen[0].count() == queries.table(spark, "/root/testdata/sf0.001", "lineitem").count()
+
+
 def test_states_of_days_are_made_at_the_same_time(spark, tmp_path, monkeypatch):
     lake, store = str(tmp_path / "lake"), str(tmp_path / "store")
     jobs.store_batch_records(clean(spark, [raw(), raw(Day="2")]), lake, "one")
