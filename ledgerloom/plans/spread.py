@@ -20,8 +20,9 @@ PLACES = ("merchant_name", "merchant_city")
 
 
 def partitions(df: DataFrame, rows: int | None) -> int:
-    """For ``rows`` of ``df``, which are counted unless given; the count need not be exact."""
-    return max(1, -(-(df.count() if rows is None else rows) // TASK_ROWS))
+    """For ``rows`` of ``df``, which are counted unless given; the count need not be exact. At least two, as one
+    partition would not be dealt out by key."""
+    return max(2, -(-(df.count() if rows is None else rows) // TASK_ROWS))
 
 
 def merge(measures: Iterable[str], least: Iterable[str] = ("smallest",), greatest: Iterable[str] = ("largest",)) -> list:
